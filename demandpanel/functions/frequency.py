@@ -57,6 +57,10 @@ class Frequency:
     def _month_index(self, ds: Column) -> Column:
         return (F.year(ds) * 12 + F.month(ds) - 1).cast("int")
 
+    def _offset(self, distance: Column) -> Column:
+        """Distance to an anchor, as less than one base; every index is one at base 1."""
+        return F.lit(0) if self.base == 1 else F.pmod(distance, F.lit(self.base))
+
     def ceil(self, ds: Column) -> Column:
         """Index of the first anchor on or after ``ds``."""
         if self.unit == "day":
@@ -70,7 +74,7 @@ class Frequency:
         month = self._month_index(ds)
         if self.unit == "month_start":
             month = month + (F.dayofmonth(ds) > 1).cast("int")
-        return month + F.pmod(F.lit(self.anchor) - month, F.lit(self.base))
+        return month + self._offset(F.lit(self.anchor) - month)
 
     def floor(self, ds: Column) -> Column:
         """Index of the last anchor on or before ``ds``."""
@@ -85,7 +89,7 @@ class Frequency:
         month = self._month_index(ds)
         if self.unit == "month_end":
             month = month - (ds < F.last_day(ds)).cast("int")
-        return month - F.pmod(month - F.lit(self.anchor), F.lit(self.base))
+        return month - self._offset(month - F.lit(self.anchor))
 
     def date_of(self, index: Column) -> Column:
         """Date of an anchor index."""
@@ -107,6 +111,12 @@ class Frequency:
             return index
         return index + F.pmod(first - index, F.lit(self.step))
 
+    def snap_down(self, index: Column, first: Column) -> Column:
+        """Largest grid index not above ``index``, the grid counting from ``first``."""
+        if self.multiple == 1:
+            return index
+        return index - F.pmod(index - first, F.lit(self.step))
+
     def on_grid(self, ds: Column, first: Column) -> Column:
         """Whether ``ds`` is a calendar date, the grid counting from ``first``."""
         index = self.ceil(ds)

@@ -33,9 +33,8 @@ def trend_span(season: int) -> int:
     return max(3, _odd_at_least(1.5 * season / (1 - 1.5 / SEASONAL_SPAN)))
 
 
-def loess(y: np.ndarray, span: int, pad: int = 0) -> np.ndarray:
-    """Local linear regression with tricube weights at positions -pad .. n-1+pad."""
-    n = len(y)
+def _kernel(n: int, span: int, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """First neighbour and weights of every position -pad .. n-1+pad."""
     width = min(span, n)
     at = np.arange(-pad, n + pad, dtype=float)
     left = np.clip(at.astype(int) - (width - 1) // 2, 0, n - width)
@@ -49,10 +48,16 @@ def loess(y: np.ndarray, span: int, pad: int = 0) -> np.ndarray:
     spread = (weight * (offset - centre[:, None]) ** 2).sum(axis=1)
     sloped = np.sqrt(spread) > 0.001 * max(n - 1, 1)
     slope = np.where(sloped, -centre / np.where(sloped, spread, 1.0), 0.0)
-    weight *= 1 + slope[:, None] * (offset - centre[:, None])
-    out = np.zeros((len(at),) + y.shape[1:])
-    for j in range(width):
-        out += weight[:, j, None] * y[left + j]
+    return left, weight * (1 + slope[:, None] * (offset - centre[:, None]))
+
+
+def loess(y: np.ndarray, span: int, pad: int = 0) -> np.ndarray:
+    """Local linear regression with tricube weights at positions -pad .. n-1+pad."""
+    left, weight = _kernel(len(y), span, pad)
+    weight = weight.reshape(weight.shape + (1,) * (y.ndim - 1))
+    out = weight[:, 0] * y[left]
+    for j in range(1, weight.shape[1]):
+        out += weight[:, j] * y[left + j]
     return out
 
 
@@ -70,10 +75,15 @@ def decompose(y: np.ndarray, season: int) -> tuple[np.ndarray, np.ndarray]:
         return loess(y, trend_span(max(season, 1))), np.zeros_like(y)
     trend = np.zeros_like(y)
     cycles = np.empty((n + 2 * season,) + y.shape[1:])
+    # Phases 0 .. longer-1 of the cycle occur once more than the others.
+    whole, longer = divmod(n, season)
     for _ in range(PASSES):
         detrended = y - trend
-        for phase in range(season):
-            cycles[phase::season] = loess(detrended[phase::season], SEASONAL_SPAN, pad=1)
+        for phases, count in ((range(longer), whole + 1), (range(longer, season), whole)):
+            if len(phases):
+                at = np.add.outer(np.arange(count) * season, phases)
+                around = np.add.outer(np.arange(count + 2) * season, phases)
+                cycles[around] = loess(detrended[at], SEASONAL_SPAN, pad=1)
         low = _moving_average(_moving_average(_moving_average(cycles, season), season), 3)
         seasonal = cycles[season : season + n] - loess(low, _odd_at_least(season + 1))
         trend = loess(y - seasonal, trend_span(season))
@@ -132,11 +142,11 @@ def extrapolate(y: np.ndarray, horizon: int) -> np.ndarray:
     phis = [0.0] + [1.0] * (n > 6) + [0.8, 0.9, 0.98] * (n > 7)
     alpha, share, phi = (
         g[None, :]
-        for g in _grid([0.05, 0.2, 0.4, 0.6, 0.8, 0.95, 0.9999], [0.001, 0.1, 0.4, 0.7, 0.9999], phis)
+        for g in _grid([0.05, 0.3, 0.65, 0.9999], [0.001, 0.25, 0.6, 0.9999], phis)
     )
     size = np.where(phi == 0, 3, np.where(phi == 1, 5, 6))
     rows = np.arange(series)
-    step_a, step_s = 0.1, 0.15
+    step_a, step_s = 0.2, 0.2
     for round_ in range(4):
         sse, level, slope = _filter(y, alpha, alpha * share, phi)
         penalty = 2 * size + 2 * size * (size + 1) / np.maximum(n - size - 1, 0.5)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandpanel.functions.columns import ID, TARGET, TIME, in_time, require_columns
@@ -19,13 +19,27 @@ def date_bounds(df: DataFrame) -> DataFrame:
     return df.agg(F.min(TIME).alias("lo"), F.max(TIME).alias("hi"))
 
 
-def _bounds(df: DataFrame, bounds: Bounds) -> tuple[Column, Column]:
-    """Bounds as two columns: literals, or fields of one scalar subquery."""
+def _day(value: datetime.date | str) -> Column:
+    return F.lit(str(value)[:10]).cast("date")
+
+
+def _grid(df: DataFrame, f: Frequency, bounds: Bounds) -> Column:
+    """First and last calendar index, as a literal struct or one scalar subquery."""
+
+    def ends(lo: Column, hi: Column) -> Column:
+        first = f.ceil(lo)
+        return F.struct(first.alias("first"), f.snap_down(f.floor(hi), first).alias("last"))
+
     if isinstance(bounds, tuple):
-        return tuple(F.lit(str(b)[:10]).cast("date") for b in bounds)
+        return ends(_day(bounds[0]), _day(bounds[1]))
     frame = date_bounds(df) if bounds is None else bounds
-    pair = frame.select(F.struct(F.col("lo").alias("lo"), F.col("hi").alias("hi"))).scalar()
-    return pair["lo"], pair["hi"]
+    return frame.select(ends(F.col("lo"), F.col("hi"))).scalar()
+
+
+def _indices(first: Column, last: Column, step: int) -> Column:
+    """Grid indices from ``first`` to ``last``; empty when there are none."""
+    nothing = F.array().cast("array<int>")
+    return F.when(first <= last, F.sequence(first, last, F.lit(step))).otherwise(nothing)
 
 
 def calendar(
@@ -33,16 +47,67 @@ def calendar(
 ) -> DataFrame:
     """The anchors of ``freq`` between two dates, one row per period."""
     f = parse_frequency(freq)
-    lo, hi = (F.lit(str(d)[:10]).cast("date") for d in (lo, hi))
-    ends = spark.range(1).select(f.ceil(lo).alias("first"), f.floor(hi).alias("last"))
+    ends = spark.range(1).select(f.ceil(_day(lo)).alias("first"), f.floor(_day(hi)).alias("last"))
     index = F.explode(_indices(F.col("first"), F.col("last"), f.step))
     return ends.select(index.alias("k")).select(f.date_of(F.col("k")).alias(TIME))
 
 
-def _indices(first: Column, last: Column, step: int) -> Column:
-    """Grid indices from ``first`` to ``last``; empty when there are none."""
-    return F.when(first <= last, F.sequence(first, last, F.lit(step))).otherwise(
-        F.array().cast("array<int>")
+def place_on_calendar(
+    df: DataFrame, freq: str | Frequency, static: Sequence[str] = (), bounds: Bounds = None
+) -> DataFrame:
+    """Each row with the calendar periods it covers: index ``_start`` to ``_stop``.
+
+    Rows, ordered by date inside their series, cover the periods from their own date up
+    to the next row's date; the first also those since the global start, the last those
+    up to the global end. ``_at`` is the row's own index, null off the calendar, where
+    the values are lost too. ``_grid`` holds the first and last index of the calendar.
+    """
+    f = parse_frequency(freq)
+    static = list(static)
+    require_columns(df, [ID, TIME, TARGET, *static])
+    carried = [c for c in df.columns if c not in (ID, TIME, *static)]
+    whole = in_time().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = (
+        df.where(F.col(TIME).isNotNull())
+        .withColumn("_at", f.ceil(F.col(TIME)))
+        .select(
+            ID, TIME, "_at", *carried,
+            *[F.last(c).over(whole).alias(c) for c in static],
+            F.lag(TIME).over(in_time()).isNull().alias("_is_first"),
+            F.lead("_at").over(in_time()).alias("_next"),
+        )
+        # Outside the windows, so that the bounds are not shuffled with every row.
+        .withColumn("_grid", _grid(df, f, bounds))
+    )
+    first, last = F.col("_grid.first"), F.col("_grid.last")
+    stop = F.coalesce(f.snap(F.col("_next"), first) - f.step, last)
+    own = f.on_grid(F.col(TIME), first)
+    placed = rows.withColumns(
+        {
+            "_start": F.when(F.col("_is_first"), first).otherwise(f.snap(F.col("_at"), first)),
+            # A row on the calendar always covers its own period, repeats included.
+            "_stop": F.when(own, F.greatest(stop, F.col("_at"))).otherwise(stop),
+            "_own": own,
+        }
+    )
+    on_calendar = {c: F.when(F.col("_own"), F.col(c)) for c in ["_at", *carried]}
+    return placed.withColumns(on_calendar).drop("_is_first", "_next", "_own")
+
+
+def spread_over_calendar(
+    placed: DataFrame, freq: str | Frequency, static: Sequence[str] = ()
+) -> DataFrame:
+    """One row per covered period, the values on the row's own period only."""
+    f = parse_frequency(freq)
+    hidden = ("_at", "_start", "_stop", "_grid")
+    carried = [c for c in placed.columns if c not in (ID, TIME, *static, *hidden)]
+    covered = _indices(F.col("_start"), F.col("_stop"), f.step)
+    periods = placed.select(ID, "_at", *static, *carried, F.explode(covered).alias("_k"))
+    return periods.select(
+        ID,
+        f.date_of(F.col("_k")).alias(TIME),
+        *static,
+        *[F.when(F.col("_k") == F.col("_at"), F.col(c)).alias(c) for c in carried],
     )
 
 
@@ -54,60 +119,20 @@ def fill_calendar(
 ) -> DataFrame:
     """Give every series one row per calendar period between the global bounds.
 
-    Each row, ordered by date inside its series, covers the periods from its own date
-    up to the next row's date; the first row also covers the periods since the global
-    start, the last one those up to the global end. One shuffle by series does the
-    work of the id-by-calendar product and the join back, and later steps keep that
-    partitioning. Rows off the calendar are lost (``off_calendar_rows`` lists them) but
-    still hold their series in the panel. Static columns get the value of the last date.
+    One shuffle by series does the work of the id-by-calendar product and the join back,
+    and later steps keep that partitioning. Rows off the calendar are lost
+    (``off_calendar_rows`` lists them) but still hold their series in the panel. Static
+    columns get the value of the last date.
 
     ``bounds`` may be a ``(lo, hi)`` frame or pair; by default it is read from ``df``.
     """
-    f = parse_frequency(freq)
-    static = list(static)
-    require_columns(df, [ID, TIME, TARGET, *static])
-    carried = [c for c in df.columns if c not in (ID, TIME, *static)]
-    lo, hi = _bounds(df, bounds)
-    whole = in_time().rowsBetween(-(2**63), 2**63 - 1)
-
-    rows = df.where(F.col(TIME).isNotNull()).select(
-        ID,
-        TIME,
-        *carried,
-        *[F.last(c).over(whole).alias(c) for c in static],
-        F.lag(TIME).over(in_time()).alias("_prev"),
-        F.lead(TIME).over(in_time()).alias("_next"),
-        f.ceil(lo).alias("_first"),
-        f.floor(hi).alias("_last"),
-    )
-    first = F.col("_first")
-    start = F.when(F.col("_prev").isNull(), first).otherwise(f.snap(f.ceil(F.col(TIME)), first))
-    stop = F.when(F.col("_next").isNull(), F.col("_last")).otherwise(f.ceil(F.col("_next")) - 1)
-    own = f.on_grid(F.col(TIME), first)
-    rows = rows.select(
-        "*",
-        start.alias("_start"),
-        # A row on the calendar always emits its own period, repeats included.
-        F.when(own, F.greatest(stop, f.ceil(F.col(TIME)))).otherwise(stop).alias("_stop"),
-    )
-    periods = rows.select(
-        "*", F.explode(_indices(F.col("_start"), F.col("_stop"), f.step)).alias("_k")
-    )
-    filled = periods.withColumn("_ds", f.date_of(F.col("_k")))
-    is_own = F.col("_ds") == F.col(TIME)
-    return filled.select(
-        ID,
-        F.col("_ds").alias(TIME),
-        *static,
-        *[F.when(is_own, F.col(c)).alias(c) for c in carried],
-    )
+    return spread_over_calendar(place_on_calendar(df, freq, static, bounds), freq, static)
 
 
 def off_calendar_rows(df: DataFrame, freq: str | Frequency, bounds: Bounds = None) -> DataFrame:
     """Rows that ``fill_calendar`` loses because their date is not on the calendar."""
     f = parse_frequency(freq)
-    lo, _ = _bounds(df, bounds)
-    return df.where(~f.on_grid(F.col(TIME), f.ceil(lo)))
+    return df.where(~f.on_grid(F.col(TIME), _grid(df, f, bounds)["first"]))
 
 
 def future_calendar(
@@ -118,13 +143,18 @@ def future_calendar(
     if horizon <= 0:
         raise ValueError("horizon must be > 0")
     ids = df.select(ID).distinct()
-    end = (df.agg(F.max(TIME).alias("hi")) if last is None else last).select("hi").scalar()
-    after = f.floor(F.col("_hi"))
-    steps = F.sequence(after + f.base, after + f.base + (horizon - 1) * f.step, F.lit(f.step))
-    if f.multiple > 1:
-        # On the calendar the next period is a whole multiple away; off it, the next anchor.
-        aligned = f.date_of(after) == F.col("_hi")
-        begin = after + F.when(aligned, F.lit(f.step)).otherwise(F.lit(f.base))
-        steps = F.sequence(begin, begin + (horizon - 1) * f.step, F.lit(f.step))
-    future = ids.select(ID, end.alias("_hi")).select(ID, F.explode(steps).alias("_k"))
-    return future.select(ID, f.date_of(F.col("_k")).alias(TIME))
+    frame = date_bounds(df) if last is None else last
+    future = ids.withColumn("_next", frame.select(next_index(f, F.col("hi"))).scalar())
+    return future.select(
+        ID, F.explode(future_indices(f, F.col("_next"), horizon)).alias("_k")
+    ).select(ID, f.date_of(F.col("_k")).alias(TIME))
+
+
+def next_index(f: Frequency, last: Column) -> Column:
+    """The period after ``last``: a whole multiple on from an anchor, else the next anchor."""
+    at = f.floor(last)
+    return at + F.when(f.date_of(at) == last, F.lit(f.step)).otherwise(F.lit(f.base))
+
+
+def future_indices(f: Frequency, first: Column, horizon: int) -> Column:
+    return F.sequence(first, first + (horizon - 1) * f.step, F.lit(f.step))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandpanel.functions.columns import ID, LABEL, TARGET, by_series
@@ -12,20 +12,20 @@ ADI_THRESHOLD = 1.32
 CV2_THRESHOLD = 0.49
 
 
-def _demand_aggregates() -> dict[str, Column]:
-    """Periods and demand statistics of a series; only ``y > 0`` counts as demand."""
+def demand_aggregates() -> dict[str, Column]:
+    """Demand statistics of a series; only ``y > 0`` counts as demand."""
     demand = F.when(F.col(TARGET) > 0, F.col(TARGET))
     return {
-        "_periods": F.count(F.lit(1)),
         "_demands": F.count(demand),
         "_mean": F.avg(demand),
         "_std": F.stddev_pop(demand),
     }
 
 
-def _metrics() -> tuple[Column, Column]:
+def demand_ratios(periods: Column) -> tuple[Column, Column]:
+    """Average demand interval and squared variation; infinite where undefined."""
     infinity = F.lit(float("inf"))
-    adi = F.when(F.col("_demands") > 0, F.col("_periods") / F.col("_demands"))
+    adi = F.when(F.col("_demands") > 0, periods / F.col("_demands"))
     cv2 = F.when(F.col("_mean") > 0, F.pow(F.col("_std") / F.col("_mean"), F.lit(2.0)))
     return F.coalesce(adi, infinity), F.coalesce(cv2, infinity)
 
@@ -42,8 +42,11 @@ def demand_label(adi: Column, cv2: Column) -> Column:
 
 def demand_metrics(df: DataFrame) -> DataFrame:
     """``unique_id, classification, adi, cv2``, one row per series."""
-    stats = df.groupBy(ID).agg(*[c.alias(name) for name, c in _demand_aggregates().items()])
-    adi, cv2 = _metrics()
+    stats = df.groupBy(ID).agg(
+        F.count(F.lit(1)).alias("_periods"),
+        *[c.alias(name) for name, c in demand_aggregates().items()],
+    )
+    adi, cv2 = demand_ratios(F.col("_periods"))
     return stats.select(ID, adi.alias("adi"), cv2.alias("cv2")).select(
         ID, demand_label(F.col("adi"), F.col("cv2")).alias(LABEL), "adi", "cv2"
     )
@@ -51,9 +54,12 @@ def demand_metrics(df: DataFrame) -> DataFrame:
 
 def classify_demand(df: DataFrame) -> DataFrame:
     """Add ``classification`` to every row, over the shuffle by series already in the plan."""
-    series: WindowSpec = by_series()
-    stats = df.select("*", *[c.over(series).alias(n) for n, c in _demand_aggregates().items()])
-    adi, cv2 = _metrics()
+    stats = df.select(
+        "*",
+        F.count(F.lit(1)).over(by_series()).alias("_periods"),
+        *[c.over(by_series()).alias(name) for name, c in demand_aggregates().items()],
+    )
+    adi, cv2 = demand_ratios(F.col("_periods"))
     return stats.select(*df.columns, adi.alias("_adi"), cv2.alias("_cv2")).select(
         *df.columns, demand_label(F.col("_adi"), F.col("_cv2")).alias(LABEL)
     )

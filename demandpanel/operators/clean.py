@@ -21,7 +21,7 @@ from demandpanel.operators.calendar import Bounds, fill_calendar
 Step = Callable[[DataFrame], DataFrame]
 
 
-def _first(condition: Column) -> Column:
+def first_date(condition: Column) -> Column:
     """First date of the series where the condition holds."""
     return F.min(F.when(condition, F.col(TIME))).over(by_series())
 
@@ -33,12 +33,12 @@ def _trim(df: DataFrame, start: Column) -> DataFrame:
 
 def trim_leading_nulls(df: DataFrame) -> DataFrame:
     """Drop rows before the first known target. A series of nulls stays."""
-    return _trim(df, _first(F.col(TARGET).isNotNull()))
+    return _trim(df, first_date(F.col(TARGET).isNotNull()))
 
 
 def trim_leading_zeros(df: DataFrame) -> DataFrame:
     """Drop rows before the first non-zero target. A series of zeros stays."""
-    return _trim(df, _first(F.col(TARGET) != 0))
+    return _trim(df, first_date(F.col(TARGET) != 0))
 
 
 def drop_zero_only(df: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def clean_series(
     Where a non-zero target exists the zero trim covers the null trim, so one window
     finds the start of the series.
     """
-    start = F.coalesce(_first(F.col(TARGET) != 0), _first(F.col(TARGET).isNotNull()))
+    start = F.coalesce(first_date(F.col(TARGET) != 0), first_date(F.col(TARGET).isNotNull()))
     return _drop(_trim(df, start), True, inactivity, min_records, nulls_inactive)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from demandpanel.functions import smoothing
 from demandpanel.functions.columns import ID, TARGET, TIME, require_columns
 from demandpanel.functions.frequency import Frequency, parse_frequency
+from demandpanel.operators.calendar import date_bounds, future_indices, next_index
 
 # Ship the numeric helper with the task instead of asking executors to import it.
 cloudpickle.register_pickle_by_value(smoothing)
@@ -110,7 +111,7 @@ def mstl_future(
     if horizon <= 0:
         raise ValueError("horizon must be > 0")
     require_columns(df, [ID, TIME, TARGET])
-    end = (df.agg(F.max(TIME).alias("hi")) if last is None else last).select("hi").scalar()
+    frame = date_bounds(df) if last is None else last
     targets = F.transform("rows", lambda r: r[TARGET])
     parts = series_rows(df, [TARGET]).select(
         ID,
@@ -118,14 +119,12 @@ def mstl_future(
         f.floor(F.element_at("rows", -1)[TIME]).alias("own"),
         components(targets, season_length, horizon).alias("parts"),
     )
-    ahead = parts.select("*", f.floor(end).alias("end"), (f.date_of(f.floor(end)) == end).alias("on"))
-    # Off the calendar the first future period is the next anchor, else one step away.
-    begin = F.col("end") + F.when(F.col("on"), f.step).otherwise(f.base)
-    steps = F.sequence(begin, begin + (horizon - 1) * f.step, F.lit(f.step))
+    ahead = parts.withColumn("next", frame.select(next_index(f, F.col("hi"))).scalar())
+    steps = future_indices(f, F.col("next"), horizon)
     out = ahead.select(ID, "n", "own", "parts", F.explode(steps).alias("k"))
-    lag = F.col("k") - F.col("own")
-    place = (F.col("n") + lag / f.step - 1).cast("int")
-    known = F.pmod(lag, F.lit(f.step)) == 0
+    distance = F.col("k") - F.col("own")
+    place = (F.col("n") + distance / f.step - 1).cast("int")
+    known = F.pmod(distance, F.lit(f.step)) == 0
     return out.select(
         ID,
         f.date_of(F.col("k")).alias(TIME),

@@ -51,11 +51,39 @@ def ewm_terms(alpha: float) -> int:
     return math.ceil(math.log(1e-16) / math.log(1 - alpha)) + 1
 
 
-def ewm_fold(values: Column, alpha: float) -> Column:
-    """Exponentially weighted mean of an array, starting from its first value."""
-    return F.aggregate(
-        values, F.get(values, F.lit(0)), lambda mean, v: mean + alpha * (v - mean)
+def running_ewm(
+    df: DataFrame, alpha: float, into: str, column: str = TRANSFORMED
+) -> tuple[DataFrame, str]:
+    """Add the exponentially weighted mean of the series up to each row.
+
+    The recursion becomes running sums of values weighted by ``(1 - alpha)`` to minus
+    their place, restarted in blocks so that the weights stay within double range; the
+    mean at the end of the previous block carries the rest. Each row costs the same
+    however long the series. Also returns the block column: ordering by it and the date
+    is ordering by date, and windows that do so share this function's sort.
+    """
+    terms, keep = ewm_terms(alpha), F.lit(1 - alpha)
+    block, place, own = f"_block_{into}", f"_place_{into}", f"_own_{into}"
+    known_before = in_time().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.withColumn(place, F.count(column).over(known_before) - 1).withColumns(
+        {block: F.floor(F.col(place) / terms), place: F.pmod(F.col(place), F.lit(terms))}
+    )
+    is_first = (F.col(place) == 0) & (F.col(block) == 0)
+    weight = F.when(is_first, 1.0).otherwise(alpha) * F.pow(keep, -F.col(place))
+    in_block = Window.partitionBy(ID, block).orderBy(TIME)
+    total = F.sum(F.col(column) * weight).over(
+        in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    rows = rows.withColumn(own, total * F.pow(keep, F.col(place)))
+    earlier = Window.partitionBy(ID).orderBy(block, TIME).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    at_block_end = F.when(F.col(place) == terms - 1, F.col(own))
+    carried = F.last(at_block_end, ignorenulls=True).over(earlier)
+    rows = rows.withColumn("_carried", carried)
+    rest = F.when(F.col(block) > 0, F.pow(keep, F.col(place) + 1) * F.col("_carried"))
+    rows = rows.withColumn(into, F.col(own) + F.coalesce(rest, F.lit(0.0)))
+    return rows.drop(place, own, "_carried"), block
 
 
 def lag_features(
@@ -67,30 +95,35 @@ def lag_features(
 ) -> DataFrame:
     """The model matrix: key, ``y``, ``z``, static and exogenous columns, lag features.
 
-    All windows share one sort by series and date. Rows with a missing target or lag
-    feature are left out unless ``keep_incomplete``.
+    All windows share the shuffle by series. Rows with a missing target or lag feature
+    are left out unless ``keep_incomplete``.
     """
     require_columns(df, [ID, TIME, TARGET, *static, *exogenous])
     out = transform_target(df.select(ID, TIME, TARGET, *static, *exogenous), spec)
+    blocks = []
+    for name, (_, t) in spec.lag_features().items():
+        if isinstance(t, ExponentialMean):
+            out, block = running_ewm(out, t.alpha, f"_now_{name}")
+            blocks = [block]
+    series = Window.partitionBy(ID).orderBy(*blocks, TIME)
     windowed, final = [], []
     for name, (lag, t) in spec.lag_features().items():
-        up_to_lag = in_time().rowsBetween(Window.unboundedPreceding, -lag)
         if t is None:
-            windowed.append(F.lag(TRANSFORMED, lag).over(in_time()).alias(name))
+            windowed.append(F.lag(TRANSFORMED, lag).over(series).alias(name))
             final.append(F.col(name))
         elif isinstance(t, RollingMean):
-            recent = in_time().rowsBetween(-(lag + t.size - 1), -lag)
+            recent = series.rowsBetween(-(lag + t.size - 1), -lag)
             windowed.append(F.avg(TRANSFORMED).over(recent).alias(f"_mean_{name}"))
             windowed.append(F.count(TRANSFORMED).over(recent).alias(f"_count_{name}"))
             enough = F.col(f"_count_{name}") >= t.needed
             final.append(F.when(enough, F.col(f"_mean_{name}")).alias(name))
         elif isinstance(t, ExpandingStd):
+            up_to_lag = series.rowsBetween(Window.unboundedPreceding, -lag)
             windowed.append(F.stddev_samp(TRANSFORMED).over(up_to_lag).alias(name))
             final.append(F.col(name))
         elif isinstance(t, ExponentialMean):
-            recent = in_time().rowsBetween(-(lag + ewm_terms(t.alpha) - 1), -lag)
-            windowed.append(F.collect_list(TRANSFORMED).over(recent).alias(f"_list_{name}"))
-            final.append(ewm_fold(F.col(f"_list_{name}"), t.alpha).alias(name))
+            windowed.append(F.lag(f"_now_{name}", lag).over(series).alias(name))
+            final.append(F.col(name))
     columns = [ID, TIME, TARGET, TRANSFORMED, *static, *exogenous]
     out = out.select(*columns, *windowed).select(*columns, *final)
     if keep_incomplete:

@@ -12,15 +12,13 @@ from pyspark.sql import functions as F
 from demandpanel.functions.columns import ID, LABEL, LABELS, TIME, require_columns, require_text
 from demandpanel.functions.frequency import Frequency
 from demandpanel.functions.spec import ModelSpec
-from demandpanel.operators.calendar import Bounds, date_bounds, fill_calendar, future_calendar
-from demandpanel.operators.classify import classify_demand
-from demandpanel.operators.clean import clean_series
+from demandpanel.operators.calendar import date_bounds, future_calendar
 from demandpanel.operators.decompose import FEATURES, add_features, mstl_features, mstl_future
 from demandpanel.operators.forecast import (
     BACKTEST_SCHEMA, FORECAST_SCHEMA, IMPORTANCE_SCHEMA, FittedLabel,
     backtest_label, fit_label, forecast_label, importance_label,
 )
-from demandpanel.operators.impute import IMPUTATION_POLICY, Imputer, impute_by_class
+from demandpanel.operators.prepare import prepare
 from demandpanel.plans.policies import POLICIES, spec_for
 from demandpanel.sources.tables import (
     append_forecasts, inbound, read_table, read_training, require_rows, standardise,
@@ -40,20 +38,6 @@ def layout_by_series(df: DataFrame, column: str = ID, partitions: int | None = N
     return ranged.sortWithinPartitions(column, TIME)
 
 
-def prepare(
-    df: DataFrame,
-    freq: str | Frequency,
-    inactivity: int,
-    min_records: int,
-    static: Sequence[str] = (),
-    policy: Mapping[str, Imputer] = IMPUTATION_POLICY,
-    bounds: Bounds = None,
-) -> DataFrame:
-    """Complete, clean, label and impute a panel with unique keys, on one shuffle by series."""
-    filled = fill_calendar(df, freq, static, bounds)
-    return impute_by_class(classify_demand(clean_series(filled, inactivity, min_records)), policy)
-
-
 def training_frame(df: DataFrame, season_length: int, unique: bool = True) -> DataFrame:
     """History with trend and seasonal columns; set ``unique=False`` where keys may repeat."""
     return mstl_features(df if unique else inbound(df), season_length)
