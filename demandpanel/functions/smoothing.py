@@ -134,36 +134,43 @@ def _grid(alphas, shares, phis):
     return a, np.where(p > 0, s, 0.0), p
 
 
-def extrapolate(y: np.ndarray, horizon: int) -> np.ndarray:
-    """Next ``horizon`` values of each column by the best additive smoothing model."""
+def _criterion(sse: np.ndarray, n: int, size: np.ndarray) -> np.ndarray:
+    """AICc of a model with ``size`` parameters."""
+    return n * np.log(sse) + 2 * size + 2 * size * (size + 1) / np.maximum(n - size - 1, 0.5)
+
+
+def best_smoothing(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Criterion, last level, last slope and damping of each column's best model.
+
+    A coarse grid over all models, then two closer searches around each series' best.
+    """
     n, series = y.shape
-    if horizon == 0 or n < 3:
-        return np.repeat(y[-1:], horizon, axis=0)
     phis = [0.0] + [1.0] * (n > 6) + [0.8, 0.9, 0.98] * (n > 7)
-    alpha, share, phi = (
-        g[None, :]
-        for g in _grid([0.05, 0.3, 0.65, 0.9999], [0.001, 0.25, 0.6, 0.9999], phis)
-    )
+    alphas, shares = [0.05, 0.3, 0.65, 0.9999], [0.001, 0.25, 0.6, 0.9999]
+    alpha, share, phi = (g[None, :] for g in _grid(alphas, shares, phis))
     size = np.where(phi == 0, 3, np.where(phi == 1, 5, 6))
-    rows = np.arange(series)
-    step_a, step_s = 0.2, 0.2
-    for round_ in range(4):
+    rows, around = np.arange(series), np.array([-1, -0.5, 0, 0.5, 1])
+    da, ds = (d.ravel() for d in np.meshgrid(around, around))
+    for reach in (0.25, 0.07, 0.0):
         sse, level, slope = _filter(y, alpha, alpha * share, phi)
-        penalty = 2 * size + 2 * size * (size + 1) / np.maximum(n - size - 1, 0.5)
-        best = np.argmin(n * np.log(sse) + penalty, axis=1)
-        pick = lambda g: np.broadcast_to(g, sse.shape)[rows, best]
-        a, s, p, k = pick(alpha), pick(share), pick(phi), pick(size)
-        if round_ == 3:
+        score = _criterion(sse, n, size)
+        best = np.argmin(score, axis=1)
+        a, s, p, k = (np.broadcast_to(g, sse.shape)[rows, best] for g in (alpha, share, phi, size))
+        if reach == 0.0:
             break
-        # Search closer around each series' own best parameters.
-        da, ds = (d.ravel() for d in np.meshgrid([-1, -0.5, 0, 0.5, 1], [-1, -0.5, 0, 0.5, 1]))
-        alpha = np.clip(a[:, None] + step_a * da, 0.0001, 0.9999)
-        share = np.where(p[:, None] > 0, np.clip(s[:, None] + step_s * ds, 0.0001, 0.9999), 0.0)
+        alpha = np.clip(a[:, None] + reach * da, 0.0001, 0.9999)
+        share = np.where(p[:, None] > 0, np.clip(s[:, None] + reach * ds, 0.0001, 0.9999), 0.0)
         phi, size = np.repeat(p[:, None], len(da), 1), np.repeat(k[:, None], len(da), 1)
-        step_a, step_s = step_a / 3, step_s / 3
-    level, slope = level[rows, best], slope[rows, best]
-    damped = np.cumsum(p[None, :] ** np.arange(1, horizon + 1)[:, None], axis=0)
-    return level + damped * np.where(p > 0, slope, 0.0)
+    return score[rows, best], level[rows, best], slope[rows, best], p
+
+
+def extrapolate(y: np.ndarray, horizon: int) -> np.ndarray:
+    """Next ``horizon`` values of each column by the best additive smoothing model."""
+    if horizon == 0 or len(y) < 3:
+        return np.repeat(y[-1:], horizon, axis=0)
+    _, level, slope, phi = best_smoothing(y)
+    damped = np.cumsum(phi[None, :] ** np.arange(1, horizon + 1)[:, None], axis=0)
+    return level + damped * np.where(phi > 0, slope, 0.0)
 
 
 def components(y: np.ndarray, season: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:

@@ -95,6 +95,40 @@ def mstl_features(df: DataFrame, season_length: int) -> DataFrame:
     return out.select(ID, *[F.col(f"r.rows.{c}").alias(c) for c in columns], *[f"r.{c}" for c in FEATURES])
 
 
+def with_ahead(
+    series: DataFrame,
+    season_length: int,
+    horizon: int,
+    freq: str | Frequency,
+    last: DataFrame,
+) -> DataFrame:
+    """Add ``ahead`` to one-row-per-series ``rows``: the next periods with their features.
+
+    ``last`` holds the global last date (``hi``) after which the periods start. Features
+    count from the end of each series; where a series ends early, periods past its own
+    horizon get null.
+    """
+    f = parse_frequency(freq)
+    if horizon <= 0:
+        raise ValueError("horizon must be > 0")
+    targets = F.transform("rows", lambda r: r[TARGET])
+    parts = series.select(
+        "*",
+        f.floor(F.element_at("rows", -1)[TIME]).alias("_own"),
+        components(targets, season_length, horizon).alias("_parts"),
+    ).withColumn("_next", last.select(next_index(f, F.col("hi"))).scalar())
+
+    def period(k: Column) -> Column:
+        distance = k - F.col("_own")
+        place = (F.size("rows") + distance / f.step - 1).cast("int")
+        known = F.pmod(distance, F.lit(f.step)) == 0
+        values = [F.when(known, F.get(F.col(f"_parts.{c}"), place)).alias(c) for c in FEATURES]
+        return F.struct(f.date_of(k).alias(TIME), *values)
+
+    steps = future_indices(f, F.col("_next"), horizon)
+    return parts.withColumn("ahead", F.transform(steps, period)).drop("_own", "_parts", "_next")
+
+
 def mstl_future(
     df: DataFrame,
     season_length: int,
@@ -104,32 +138,12 @@ def mstl_future(
 ) -> DataFrame:
     """``unique_id, ds, trend, seasonal`` for the periods after the global last date.
 
-    Features count from the end of each series; where a series ends early, periods past
-    its own horizon get null (``misaligned_series`` lists such series).
+    ``misaligned_series`` lists series that end early and so have fewer features.
     """
-    f = parse_frequency(freq)
-    if horizon <= 0:
-        raise ValueError("horizon must be > 0")
     require_columns(df, [ID, TIME, TARGET])
-    frame = date_bounds(df) if last is None else last
-    targets = F.transform("rows", lambda r: r[TARGET])
-    parts = series_rows(df, [TARGET]).select(
-        ID,
-        F.size("rows").alias("n"),
-        f.floor(F.element_at("rows", -1)[TIME]).alias("own"),
-        components(targets, season_length, horizon).alias("parts"),
-    )
-    ahead = parts.withColumn("next", frame.select(next_index(f, F.col("hi"))).scalar())
-    steps = future_indices(f, F.col("next"), horizon)
-    out = ahead.select(ID, "n", "own", "parts", F.explode(steps).alias("k"))
-    distance = F.col("k") - F.col("own")
-    place = (F.col("n") + distance / f.step - 1).cast("int")
-    known = F.pmod(distance, F.lit(f.step)) == 0
-    return out.select(
-        ID,
-        f.date_of(F.col("k")).alias(TIME),
-        *[F.when(known, F.get(F.col(f"parts.{c}"), place)).alias(c) for c in FEATURES],
-    )
+    last = date_bounds(df) if last is None else last
+    ahead = with_ahead(series_rows(df, [TARGET]), season_length, horizon, freq, last)
+    return ahead.select(ID, F.explode("ahead").alias("r")).select(ID, "r.*")
 
 
 def misaligned_series(df: DataFrame) -> DataFrame:

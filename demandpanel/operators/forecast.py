@@ -28,7 +28,8 @@ from demandpanel.functions.columns import (
 from demandpanel.functions.spec import (
     DIFFERENCE, SCALE, ExpandingStd, ExponentialMean, ModelSpec, RollingMean, TreeModel,
 )
-from demandpanel.operators.decompose import components, series_rows
+from demandpanel.functions.frequency import Frequency
+from demandpanel.operators.decompose import FEATURES, components, series_rows, with_ahead
 from demandpanel.operators.features import TRANSFORMED, lag_features, scale_of
 from demandpanel.sources.checkpoints import ensure_checkpoint_dir
 
@@ -353,14 +354,29 @@ def _predict_series(series: DataFrame, fitted: FittedLabel, horizon: int) -> Dat
     return df.withColumn("y_pred", steps)
 
 
-def _series_history(rows: DataFrame, fitted: FittedLabel) -> DataFrame:
-    history = series_rows(rows, [TARGET, *fitted.static])
+def _with_history(series: DataFrame, static: Sequence[str]) -> DataFrame:
+    """Name the ``rows`` array and take the static values of its last entry."""
     last = F.element_at("rows", -1)
-    return history.select(
-        ID, F.col("rows").alias("history"), *[last[c].alias(c) for c in fitted.static]
+    return series.withColumns(
+        {"history": F.col("rows"), **{c: last[c] for c in static}}
+    ).drop("rows")
+
+
+def _forecast_rows(fitted: FittedLabel, series: DataFrame, horizon: int) -> DataFrame:
+    predicted = _predict_series(_with_history(series, fitted.static), fitted, horizon)
+    steps = predicted.withColumn("ahead", F.slice("ahead", 1, horizon))
+    return steps.select(ID, F.explode(F.arrays_zip("ahead", "y_pred")).alias("r")).select(
+        ID, F.col(f"r.ahead.{TIME}").alias(TIME), F.col("r.y_pred").alias("y_pred")
     )
 
 
+def _check_forecast(fitted: FittedLabel | None, horizon: int) -> None:
+    if fitted is None:
+        raise ValueError("The model is not fitted")
+    if horizon <= 0:
+        raise ValueError("horizon must be > 0")
+
+
 def forecast_label(
     fitted: FittedLabel, rows: DataFrame, future: DataFrame, horizon: int
 ) -> DataFrame:
@@ -370,22 +386,35 @@ def forecast_label(
     least its series with the exogenous columns. Both become one row per series before
     they are joined.
     """
-    if fitted is None:
-        raise ValueError("The model is not fitted")
-    if horizon <= 0:
-        raise ValueError("horizon must be > 0")
+    _check_forecast(fitted, horizon)
     require_columns(future, [ID, TIME, *fitted.exogenous])
     coming = series_rows(future, list(fitted.exogenous)).withColumnRenamed("rows", "ahead")
     short = F.raise_error(F.concat(F.lit("Too few future rows for series "), F.col(ID)))
     coming = coming.where(
         F.when(F.size("ahead") >= horizon, F.lit(True)).otherwise(short.cast("boolean"))
     )
-    series = _series_history(rows, fitted).join(coming, ID)
-    predicted = _predict_series(series, fitted, horizon)
-    return predicted.select(
-        ID,
-        F.explode(F.arrays_zip(F.slice("ahead", 1, horizon).alias("ahead"), "y_pred")).alias("r"),
-    ).select(ID, F.col(f"r.ahead.{TIME}").alias(TIME), F.col("r.y_pred").alias("y_pred"))
+    series = series_rows(rows, [TARGET, *fitted.static]).join(coming, ID)
+    return _forecast_rows(fitted, series, horizon)
+
+
+def forecast_label_ahead(
+    fitted: FittedLabel,
+    rows: DataFrame,
+    horizon: int,
+    freq: str | Frequency,
+    season_length: int,
+    last: DataFrame,
+) -> DataFrame:
+    """``forecast_label`` on the future trend and seasonal values of the same history.
+
+    History and future come from one array per series, so nothing is joined.
+    """
+    _check_forecast(fitted, horizon)
+    unknown = [c for c in fitted.exogenous if c not in FEATURES]
+    if unknown:
+        raise ValueError(f"No future values for {unknown}; give forecast_label a future frame")
+    series = series_rows(rows, [TARGET, *fitted.static])
+    return _forecast_rows(fitted, with_ahead(series, season_length, horizon, freq, last), horizon)
 
 
 # --- Backtest ---------------------------------------------------------------------
@@ -499,8 +528,8 @@ def backtest_label(
                 warnings.warn(f"{label}: no training rows in fold {fold}", stacklevel=2)
                 continue
             last = F.element_at("history", -1)
-            folded = folded.select(
-                "*", last[TIME].alias("cutoff"), *[last[c].alias(c) for c in static]
+            folded = folded.withColumns(
+                {"cutoff": last[TIME], **{c: last[c] for c in static}}
             )
             predicted = _predict_series(folded, fitted, periods)
             parts.append(

@@ -16,7 +16,7 @@ from demandpanel.operators.calendar import date_bounds, future_calendar
 from demandpanel.operators.decompose import FEATURES, add_features, mstl_features, mstl_future
 from demandpanel.operators.forecast import (
     BACKTEST_SCHEMA, FORECAST_SCHEMA, IMPORTANCE_SCHEMA, FittedLabel,
-    backtest_label, fit_label, forecast_label, importance_label,
+    backtest_label, fit_label, forecast_label, forecast_label_ahead, importance_label,
 )
 from demandpanel.operators.prepare import prepare
 from demandpanel.plans.policies import POLICIES, spec_for
@@ -204,8 +204,13 @@ def forecast_all(
     policies: Mapping[str, ModelSpec] = POLICIES,
     scale: float = 1.0,
     fitted: Mapping[str, FittedLabel] | None = None,
+    future: DataFrame | None = None,
 ) -> DataFrame:
-    """``unique_id, ds, y_pred`` for all labels; fits the models unless given."""
+    """``unique_id, ds, y_pred`` for all labels; fits the models unless given.
+
+    The future values of trend and seasonal follow from the history; models with other
+    exogenous columns need a ``future`` frame that has them.
+    """
     if horizon <= 0:
         raise ValueError("horizon must be > 0")
     if fitted is None:
@@ -214,8 +219,10 @@ def forecast_all(
     parts = []
     for label, model in fitted.items():
         rows = _label_rows(training, label)
-        future = future_frame(rows, horizon, freq, season_length, exogenous, last)
-        parts.append(forecast_label(model, rows, future, horizon))
+        if future is None:
+            parts.append(forecast_label_ahead(model, rows, horizon, freq, season_length, last))
+        else:
+            parts.append(forecast_label(model, rows, future, horizon))
     return _union(training.sparkSession, parts, FORECAST_SCHEMA)
 
 
