@@ -14,6 +14,10 @@ import numpy as np
 SEASONAL_SPAN = 11
 PASSES = 5
 
+# Periods x series decomposed at once, series extrapolated at once: arrays of a few MB.
+CELLS_AT_ONCE = 500_000
+SERIES_AT_ONCE = 256
+
 
 def without_gaps(y: np.ndarray) -> np.ndarray:
     """Carry the last known value over missing ones; zero before the first."""
@@ -90,40 +94,53 @@ def decompose(y: np.ndarray, season: int) -> tuple[np.ndarray, np.ndarray]:
     return trend, seasonal
 
 
-def _filter(y, alpha, beta, phi):
-    """Run error-correction smoothing; return best start, end state and squared error.
+def _filter(y, lengths, alpha, beta, phi):
+    """Run error-correction smoothing; return squared error and last level and slope.
 
-    The errors are linear in the start (level, slope), so one run from zero and one
-    from each unit start give the least-squares start in closed form.
+    Columns of ``y`` are series in order of length, each from row 0; parameters are one
+    row for all series or one row each. The errors are linear in the start (level,
+    slope), so one run from zero and one from each unit start give the least-squares
+    start in closed form. The unit runs do not depend on ``y``.
     """
-    shape = np.broadcast_shapes(y.shape[1:] + (1,), alpha.shape)
-    states = [
-        [np.zeros(shape), np.zeros(shape)],
-        [np.ones(alpha.shape), np.zeros(alpha.shape)],
-        [np.zeros(alpha.shape), np.ones(alpha.shape)],
-    ]
-    s00 = s01 = s02 = s11 = s12 = s22 = 0.0
-    for t in range(len(y)):
-        errors = []
-        for k, state in enumerate(states):
-            ahead = state[0] + phi * state[1]
-            error = (y[t][:, None] - ahead) if k == 0 else -ahead
-            errors.append(error)
-            state[0] = ahead + alpha * error
-            state[1] = phi * state[1] + beta * error
-        e, u, v = errors
-        s00, s01, s02 = s00 + e * e, s01 + e * u, s02 + e * v
-        s11, s12, s22 = s11 + u * u, s12 + u * v, s22 + v * v
+    shape = (len(lengths), alpha.shape[1])
+    shared = alpha.shape[0] == 1
+    level, slope, s00, s01, s02 = (np.zeros(shape) for _ in range(5))
+    # Level and slope from either unit start, then the sums of their error products.
+    unit = [np.full(alpha.shape, v) for v in (1.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0)]
+    ended = [np.empty(shape) for _ in unit] if shared else unit
+    for t in range(lengths[-1]):
+        first, after = np.searchsorted(lengths, [t, t + 1], side="right")
+        live = slice(first, None)
+        own = slice(None) if shared else live
+        a, b, p = alpha[own], beta[own], phi[own]
+        u = unit[0][own] + p * unit[1][own]
+        v = unit[2][own] + p * unit[3][own]
+        unit[0][own], unit[1][own] = u - a * u, p * unit[1][own] - b * u
+        unit[2][own], unit[3][own] = v - a * v, p * unit[3][own] - b * v
+        for k, product in ((4, u * u), (5, u * v), (6, v * v)):
+            unit[k][own] += product
+        ahead = level[live] + p * slope[live]
+        e = y[t, live, None] - ahead
+        level[live], slope[live] = ahead + a * e, p * slope[live] + b * e
+        s00[live] += e * e
+        s01[live] -= e * u
+        s02[live] -= e * v
+        if shared:
+            for whole, now in zip(ended, unit):
+                whole[first:after] = now
+    s11, s12, s22 = ended[4:]
     # Without a slope (beta = phi = 0) the second start has no effect.
     det = s11 * s22 - s12 * s12
     both = det > 1e-9 * s11 * s22
     safe = np.where(both, det, 1.0)
-    level = np.where(both, (s12 * s02 - s22 * s01) / safe, -s01 / s11)
-    slope = np.where(both, (s12 * s01 - s11 * s02) / safe, 0.0)
-    sse = s00 + level * s01 + slope * s02
-    end_level = states[0][0] + level * states[1][0] + slope * states[2][0]
-    end_slope = states[0][1] + level * states[1][1] + slope * states[2][1]
-    return np.maximum(sse, 1e-18 * (1 + s00)), end_level, end_slope
+    x = np.where(both, (s12 * s02 - s22 * s01) / safe, -s01 / s11)
+    z = np.where(both, (s12 * s01 - s11 * s02) / safe, 0.0)
+    sse = s00 + x * s01 + z * s02
+    return (
+        np.maximum(sse, 1e-18 * (1 + s00)),
+        level + x * ended[0] + z * ended[2],
+        slope + x * ended[1] + z * ended[3],
+    )
 
 
 def _grid(alphas, shares, phis):
@@ -134,25 +151,28 @@ def _grid(alphas, shares, phis):
     return a, np.where(p > 0, s, 0.0), p
 
 
-def _criterion(sse: np.ndarray, n: int, size: np.ndarray) -> np.ndarray:
-    """AICc of a model with ``size`` parameters."""
-    return n * np.log(sse) + 2 * size + 2 * size * (size + 1) / np.maximum(n - size - 1, 0.5)
+def _criterion(sse: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """AICc of a model with ``size`` parameters; infinite where it has too few periods."""
+    spare = n - size - 1
+    score = n * np.log(sse) + 2 * size + 2 * size * (size + 1) / np.maximum(spare, 0.5)
+    return np.where((size > 3) & (spare < 1), np.inf, score)
 
 
-def best_smoothing(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def best_smoothing(
+    y: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Criterion, last level, last slope and damping of each column's best model.
 
-    A coarse grid over all models, then two closer searches around each series' best.
+    A coarse grid over all models, then three closer searches around each series' best.
     """
-    n, series = y.shape
-    phis = [0.0] + [1.0] * (n > 6) + [0.8, 0.9, 0.98] * (n > 7)
+    n = lengths[:, None]
     alphas, shares = [0.05, 0.3, 0.65, 0.9999], [0.001, 0.25, 0.6, 0.9999]
-    alpha, share, phi = (g[None, :] for g in _grid(alphas, shares, phis))
+    alpha, share, phi = (g[None, :] for g in _grid(alphas, shares, [0.0, 1.0, 0.8, 0.9, 0.98]))
     size = np.where(phi == 0, 3, np.where(phi == 1, 5, 6))
-    rows, around = np.arange(series), np.array([-1, -0.5, 0, 0.5, 1])
-    da, ds = (d.ravel() for d in np.meshgrid(around, around))
-    for reach in (0.25, 0.07, 0.0):
-        sse, level, slope = _filter(y, alpha, alpha * share, phi)
+    rows = np.arange(len(lengths))
+    da, ds = (d.ravel() for d in np.meshgrid([-1, 0, 1], [-1, 0, 1]))
+    for reach in (0.17, 0.08, 0.04, 0.0):
+        sse, level, slope = _filter(y, lengths, alpha, alpha * share, phi)
         score = _criterion(sse, n, size)
         best = np.argmin(score, axis=1)
         a, s, p, k = (np.broadcast_to(g, sse.shape)[rows, best] for g in (alpha, share, phi, size))
@@ -164,23 +184,51 @@ def best_smoothing(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return score[rows, best], level[rows, best], slope[rows, best], p
 
 
-def extrapolate(y: np.ndarray, horizon: int) -> np.ndarray:
-    """Next ``horizon`` values of each column by the best additive smoothing model."""
-    if horizon == 0 or len(y) < 3:
-        return np.repeat(y[-1:], horizon, axis=0)
-    _, level, slope, phi = best_smoothing(y)
+def extrapolate(series: list[np.ndarray], horizon: int) -> np.ndarray:
+    """Next ``horizon`` values of each series (as columns) by its best additive model.
+
+    The series come in order of length.
+    """
+    lengths = np.array([len(y) for y in series])
+    padded = np.zeros((lengths[-1], len(series)))
+    for column, y in enumerate(series):
+        padded[: len(y), column] = y
+    _, level, slope, phi = best_smoothing(padded, lengths)
     damped = np.cumsum(phi[None, :] ** np.arange(1, horizon + 1)[:, None], axis=0)
-    return level + damped * np.where(phi > 0, slope, 0.0)
+    out = level + damped * np.where(phi > 0, slope, 0.0)
+    # One or two values show no movement to continue.
+    return np.where(lengths < 3, [y[-1] for y in series], out)
 
 
-def components(y: np.ndarray, season: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:
-    """Trend and seasonal parts of the given periods and the next ``horizon`` ones."""
-    trend, seasonal = decompose(y, season)
+def components(
+    series: list[np.ndarray], season: int, horizon: int
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Trend and seasonal parts of each series and of its next ``horizon`` periods.
+
+    Series of one length are decomposed together, series of similar length are
+    extrapolated together.
+    """
+    lengths = np.array([len(y) for y in series])
+    order = np.argsort(lengths, kind="stable")
+    trends, seasonals = [None] * len(series), [None] * len(series)
+    for n in np.unique(lengths):
+        members = np.flatnonzero(lengths == n)
+        for chunk in _chunks(members, max(1, CELLS_AT_ONCE // int(n))):
+            t, s = decompose(np.column_stack([series[i] for i in chunk]), season)
+            for column, i in enumerate(chunk):
+                trends[i], seasonals[i] = t[:, column], s[:, column]
     if horizon == 0:
-        return trend, seasonal
-    cycle = season if season >= 2 and len(y) >= 2 * season else 1
-    last = seasonal[len(y) - cycle + np.arange(horizon) % cycle]
-    return (
-        np.concatenate([trend, extrapolate(trend, horizon)]),
-        np.concatenate([seasonal, last]),
-    )
+        return trends, seasonals
+    for chunk in _chunks(order, SERIES_AT_ONCE):
+        future = extrapolate([trends[i] for i in chunk], horizon)
+        for column, i in enumerate(chunk):
+            n = lengths[i]
+            cycle = season if season >= 2 and n >= 2 * season else 1
+            last = seasonals[i][n - cycle + np.arange(horizon) % cycle]
+            trends[i] = np.concatenate([trends[i], future[:, column]])
+            seasonals[i] = np.concatenate([seasonals[i], last])
+    return trends, seasonals
+
+
+def _chunks(members: np.ndarray, size: int):
+    return (members[i : i + size] for i in range(0, len(members), size))

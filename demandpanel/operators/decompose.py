@@ -19,8 +19,6 @@ from demandpanel.operators.calendar import date_bounds, future_indices, next_ind
 cloudpickle.register_pickle_by_value(smoothing)
 
 FEATURES = ("trend", "seasonal")
-# Periods x series worked on at once inside a task (about 8 MB per array).
-CELLS_AT_ONCE = 1_000_000
 
 
 def apply_per_series(
@@ -55,16 +53,7 @@ def _components_udf(season_length: int, horizon: int):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             series = [smoothing.without_gaps(np.asarray(v, dtype=float)) for v in batch]
-            lengths = np.array([len(values) for values in series])
-            trend, seasonal = [None] * len(series), [None] * len(series)
-            for n in np.unique(lengths):
-                members = np.flatnonzero(lengths == n)
-                size = max(1, CELLS_AT_ONCE // int(n))
-                for chunk in (members[i : i + size] for i in range(0, len(members), size)):
-                    y = np.column_stack([series[i] for i in chunk])
-                    t, s = smoothing.components(y, season_length, horizon)
-                    for column, i in enumerate(chunk):
-                        trend[i], seasonal[i] = t[:, column], s[:, column]
+            trend, seasonal = smoothing.components(series, season_length, horizon)
             yield pd.DataFrame({"trend": trend, "seasonal": seasonal})
 
     return run

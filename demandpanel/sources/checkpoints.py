@@ -13,6 +13,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     The session's ``spark.checkpoint.dir`` wins. Only a local session without one gets
     a temporary folder; a cluster session without one is an error.
     """
+    if "connect" in type(spark).__module__:
+        return  # The server owns the folder.
     context = spark.sparkContext
     if context.getCheckpointDir():
         return

@@ -473,4 +473,17 @@ ORACLE: dict[str, str] = {
         "FROM (SELECT max(ds) AS hi FROM cleaned))",
     ),
     "layout_by_series": _with({"p": PANEL["part_month"]}, _show("p")),
+    "load_for_forecast": _with(
+        prepared("nation_segment"),
+        "SELECT 'training' AS dataset, min(ds) AS min_ds, max(ds) AS max_ds, count(*) AS n_rows "
+        "FROM prepared UNION ALL SELECT 'future', min(d), max(d), count(*) FROM "
+        "(SELECT DISTINCT unique_id FROM prepared) CROSS JOIN "
+        "(SELECT CAST(unnest(generate_series(CAST(hi + INTERVAL 1 MONTH AS TIMESTAMP), "
+        "CAST(hi + INTERVAL 6 MONTH AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS d "
+        "FROM (SELECT max(ds) AS hi FROM prepared))",
+    ),
+    "build_training_table": _with(
+        {**prepared("supplier_day"), "cal": _calendar("1 DAY")},
+        _show("prepared", ", classification, true AS decomposed"),
+    ),
 }

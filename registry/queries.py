@@ -243,6 +243,47 @@ def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
     return before.join(after.withColumnRenamed("y_pred", "y_pred_loaded"), ["unique_id", "ds"])
 
 
+def forecast_table(spark: SparkSession, sf: str) -> DataFrame:
+    """From the stored training table to the stored forecasts of one version."""
+    source, output = f"training_{uuid.uuid4().hex}", f"forecast_{uuid.uuid4().hex}"
+    tables.write_training(
+        training(spark, sf), source, decompose.FEATURES, partition_by_label=True, buckets=8
+    )
+    stored = pipeline.forecast_table(
+        spark, source, output, "v1", "MS", 12, 3, scale=TREE_SCALE / 2
+    )
+    return stored.drop("process_date")
+
+
+def backtest_per_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Trend and seasonal recomputed from each fold's own history."""
+    rows = _stored_training(spark, sf).where(F.col("classification") == "Intermittent")
+    return pipeline.backtest_all(
+        rows, 2, 3, scale=TREE_SCALE / 2, features="per_fold", season_length=12
+    )
+
+
+def load_for_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and dates of the training table and of the future that continues it."""
+    table = f"training_{uuid.uuid4().hex}"
+    tables.write_training(training(spark, sf), table, decompose.FEATURES)
+    rows, future = pipeline.load_for_forecast(spark, table, decompose.FEATURES, 6, "MS", 12)
+    return _bounds_and_counts(training=rows, future=future)
+
+
+def _bounds_and_counts(**frames: DataFrame) -> DataFrame:
+    parts = [
+        frame.agg(
+            F.min("ds").alias("min_ds"), F.max("ds").alias("max_ds"), F.count("*").alias("n_rows")
+        ).select(F.lit(name).alias("dataset"), "min_ds", "max_ds", "n_rows")
+        for name, frame in frames.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def _shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names; a temporary one only for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -278,13 +319,17 @@ def train_test_future_bounds(spark: SparkSession, sf: str) -> DataFrame:
         spark, f"{sf}/lineitem.parquet", "l_suppkey", "l_shipdate", "l_quantity", SPLIT, 14, "D",
         7, INACTIVITY, MIN_RECORDS, on_duplicate="sum",
     )
-    parts = [
-        frame.agg(
-            F.min("ds").alias("min_ds"), F.max("ds").alias("max_ds"), F.count("*").alias("n_rows")
-        ).select(F.lit(name).alias("dataset"), "min_ds", "max_ds", "n_rows")
-        for name, frame in (("train", train), ("test", test), ("future", future))
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _bounds_and_counts(train=train, test=test, future=future)
+
+
+def build_training_table(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw order lines to the stored training table, one series per supplier and day."""
+    stored = pipeline.build_training_table(
+        spark, f"{sf}/lineitem.parquet", f"training_{uuid.uuid4().hex}", "l_suppkey",
+        "l_shipdate", "l_quantity", "D", 7, INACTIVITY, MIN_RECORDS, on_duplicate="sum",
+    )
+    known = F.col("trend").isNotNull() & F.col("seasonal").isNotNull()
+    return _show(stored, "classification", known.alias("decomposed"))
 
 
 _fill = cal.fill_calendar
@@ -343,7 +388,12 @@ QUERIES: dict[str, Query] = {
     "impute_zero": _on_panel(
         panels.part_month, lambda df: impute.impute_zero(_fill(df, "MS"))
     ),
-    "impute_by_class": lambda spark, sf: _show(prepared(spark, sf), "classification"),
+    "impute_by_class": lambda spark, sf: _show(
+        impute.impute_by_class(
+            classify.classify_demand(cleaned(spark, sf, panels.nation_segment))
+        ),
+        "classification",
+    ),
     "prepare_panel": lambda spark, sf: _show(
         prepared(spark, sf, panels.part_month), "classification"
     ),
@@ -372,4 +422,8 @@ QUERIES: dict[str, Query] = {
     "backtest_all": backtest_all,
     "importance_all": importance_all,
     "model_save_load": model_save_load,
+    "load_for_forecast": load_for_forecast,
+    "build_training_table": build_training_table,
+    "forecast_table": forecast_table,
+    "backtest_per_fold": backtest_per_fold,
 }

@@ -39,35 +39,39 @@ def test_loess_equals_its_definition(n, span):
 
 
 def test_a_line_has_no_season():
-    y = (3 + 2 * np.arange(40.0))[:, None]
-    trend, seasonal = smoothing.components(y, 12, 4)
-    assert trend[:, 0] == pytest.approx(3 + 2 * np.arange(44.0), abs=1e-6)
+    (trend,), (seasonal,) = smoothing.components([3 + 2 * np.arange(40.0)], 12, 4)
+    assert trend == pytest.approx(3 + 2 * np.arange(44.0), abs=1e-6)
     assert np.abs(seasonal).max() < 1e-9
 
 
 def test_known_season_is_found():
     t = np.arange(96)
     wave = 10 * np.sin(2 * np.pi * t / 12)
-    trend, seasonal = smoothing.components((50 + 0.5 * t + wave)[:, None], 12, 12)
-    assert seasonal[:96, 0] == pytest.approx(wave, abs=0.2)
-    assert trend[12:84, 0] == pytest.approx((50 + 0.5 * t)[12:84], abs=0.2)
-    assert seasonal[96:, 0] == pytest.approx(seasonal[84:96, 0])
-    assert trend[96:, 0] == pytest.approx(50 + 0.5 * np.arange(96, 108), abs=1.0)
+    (trend,), (seasonal,) = smoothing.components([50 + 0.5 * t + wave], 12, 12)
+    assert seasonal[:96] == pytest.approx(wave, abs=0.2)
+    assert trend[12:84] == pytest.approx((50 + 0.5 * t)[12:84], abs=0.2)
+    assert seasonal[96:] == pytest.approx(seasonal[84:96])
+    assert trend[96:] == pytest.approx(50 + 0.5 * np.arange(96, 108), abs=1.0)
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.integers(1, 60), st.integers(1, 14), st.integers(0, 5), st.integers(0, 10**6))
-def test_any_series_gives_finite_parts(n, season, horizon, seed):
+@given(
+    st.lists(st.integers(1, 60), min_size=1, max_size=5),
+    st.integers(1, 14),
+    st.integers(0, 5),
+    st.integers(0, 10**6),
+)
+def test_any_series_gives_finite_parts_whatever_the_batch(lengths, season, horizon, seed):
     rng = np.random.default_rng(seed)
-    y = rng.normal(size=(n, 3)) * rng.choice([0.0, 1.0, 1e6], size=3)
-    trend, seasonal = smoothing.components(y, season, horizon)
-    assert trend.shape == seasonal.shape == (n + horizon, 3)
-    assert np.isfinite(trend).all() and np.isfinite(seasonal).all()
-    if season < 2 or n < 2 * season:
-        assert not seasonal.any()
-    alone = smoothing.components(y[:, 1:2].copy(), season, horizon)
-    assert np.array_equal(alone[0][:, 0], trend[:, 1])
-    assert np.array_equal(alone[1][:, 0], seasonal[:, 1])
+    series = [rng.normal(size=n) * rng.choice([0.0, 1.0, 1e6]) for n in lengths]
+    trends, seasonals = smoothing.components(series, season, horizon)
+    for y, trend, seasonal in zip(series, trends, seasonals):
+        assert len(trend) == len(seasonal) == len(y) + horizon
+        assert np.isfinite(trend).all() and np.isfinite(seasonal).all()
+        if season < 2 or len(y) < 2 * season:
+            assert not seasonal.any()
+        (alone,), (alone_seasonal,) = smoothing.components([y], season, horizon)
+        assert np.array_equal(alone, trend) and np.array_equal(alone_seasonal, seasonal)
 
 
 def recursion(y, alpha, beta, phi, level, slope):
@@ -83,7 +87,7 @@ def test_start_values_minimise_the_squared_error():
     y = np.cumsum(np.random.default_rng(1).normal(0.2, 1, size=30))
     for alpha, beta, phi in [(0.4, 0.1, 1.0), (0.7, 0.3, 0.9), (0.5, 0.0, 0.0)]:
         args = [np.array([[v]]) for v in (alpha, beta, phi)]
-        got = smoothing._filter(y[:, None], *args)[0][0, 0]
+        got = smoothing._filter(y[:, None], np.array([30]), *args)[0][0, 0]
         tries = [
             recursion(y, alpha, beta, phi, a, b)
             for a in np.linspace(y[0] - 4, y[0] + 4, 161)
@@ -102,9 +106,9 @@ def test_search_finds_the_best_model():
         dense = []
         for phi, size in [(0.0, 3), (1.0, 5), (0.8, 6), (0.9, 6), (0.98, 6)]:
             p = np.full_like(alpha, phi)
-            sse = smoothing._filter(y, alpha, alpha * share * (phi > 0), p)[0]
+            sse = smoothing._filter(y, np.array([50]), alpha, alpha * share * (phi > 0), p)[0]
             dense.append(smoothing._criterion(sse, 50, np.array(size)).min())
-        assert smoothing.best_smoothing(y)[0][0] <= min(dense) + 0.5
+        assert smoothing.best_smoothing(y, np.array([50]))[0][0] <= min(dense) + 0.5
 
 
 def test_gaps_are_carried_forward():
