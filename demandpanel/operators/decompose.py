@@ -48,6 +48,15 @@ def series_rows(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     return df.groupBy(ID, *keep).agg(F.sort_array(F.collect_list(entry)).alias("rows"))
 
 
+def explode_rows(rows: Column) -> Column:
+    """Explode an array that is never empty.
+
+    For a plain explode the optimizer infers a filter on the array's size and evaluates
+    whatever computes the array, Python included, once more for it.
+    """
+    return F.explode_outer(rows)
+
+
 def _components_udf(season_length: int, horizon: int):
     @F.pandas_udf("trend array<double>, seasonal array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -79,7 +88,7 @@ def mstl_features(df: DataFrame, season_length: int) -> DataFrame:
         ID, "rows", components(targets, season_length).alias("parts")
     )
     zipped = F.arrays_zip("rows", F.col("parts.trend"), F.col("parts.seasonal"))
-    out = parts.select(ID, F.explode(zipped).alias("r"))
+    out = parts.select(ID, explode_rows(zipped).alias("r"))
     columns = [c for c in df.columns if c not in (ID, *FEATURES)]
     return out.select(ID, *[F.col(f"r.rows.{c}").alias(c) for c in columns], *[f"r.{c}" for c in FEATURES])
 
@@ -132,7 +141,7 @@ def mstl_future(
     require_columns(df, [ID, TIME, TARGET])
     last = date_bounds(df) if last is None else last
     ahead = with_ahead(series_rows(df, [TARGET]), season_length, horizon, freq, last)
-    return ahead.select(ID, F.explode("ahead").alias("r")).select(ID, "r.*")
+    return ahead.select(ID, explode_rows(F.col("ahead")).alias("r")).select(ID, "r.*")
 
 
 def misaligned_series(df: DataFrame) -> DataFrame:

@@ -25,11 +25,13 @@ from pyspark.sql import types as T
 from demandpanel.functions.columns import (
     ID, LABEL, TARGET, TIME, by_series, in_time, require_columns, row_mean,
 )
+from demandpanel.functions.frequency import Frequency
 from demandpanel.functions.spec import (
     DIFFERENCE, SCALE, ExpandingStd, ExponentialMean, ModelSpec, RollingMean, TreeModel,
 )
-from demandpanel.functions.frequency import Frequency
-from demandpanel.operators.decompose import FEATURES, components, series_rows, with_ahead
+from demandpanel.operators.decompose import (
+    FEATURES, components, explode_rows, series_rows, with_ahead,
+)
 from demandpanel.operators.features import TRANSFORMED, lag_features, scale_of
 from demandpanel.sources.checkpoints import ensure_checkpoint_dir
 
@@ -365,7 +367,8 @@ def _with_history(series: DataFrame, static: Sequence[str]) -> DataFrame:
 def _forecast_rows(fitted: FittedLabel, series: DataFrame, horizon: int) -> DataFrame:
     predicted = _predict_series(_with_history(series, fitted.static), fitted, horizon)
     steps = predicted.withColumn("ahead", F.slice("ahead", 1, horizon))
-    return steps.select(ID, F.explode(F.arrays_zip("ahead", "y_pred")).alias("r")).select(
+    pairs = explode_rows(F.arrays_zip("ahead", "y_pred"))
+    return steps.select(ID, pairs.alias("r")).select(
         ID, F.col(f"r.ahead.{TIME}").alias(TIME), F.col("r.y_pred").alias("y_pred")
     )
 
@@ -522,7 +525,7 @@ def backtest_label(
             folded = _fold_series(series, windows, periods, fold)
             if features == "per_fold":
                 folded = _refit_features(folded, season_length, periods, columns)
-            train = folded.select(ID, F.explode("history").alias("r")).select(ID, "r.*")
+            train = folded.select(ID, explode_rows(F.col("history")).alias("r")).select(ID, "r.*")
             fitted = fit_label(train, label, spec, exogenous, static, scale)
             if fitted is None:
                 warnings.warn(f"{label}: no training rows in fold {fold}", stacklevel=2)
@@ -532,8 +535,9 @@ def backtest_label(
                 {"cutoff": last[TIME], **{c: last[c] for c in static}}
             )
             predicted = _predict_series(folded, fitted, periods)
+            pairs = explode_rows(F.arrays_zip("ahead", "y_pred"))
             parts.append(
-                predicted.select(ID, "cutoff", F.explode(F.arrays_zip("ahead", "y_pred")).alias("r")).select(
+                predicted.select(ID, "cutoff", pairs.alias("r")).select(
                     ID,
                     F.col(f"r.ahead.{TIME}").alias(TIME),
                     "cutoff",

@@ -62,6 +62,18 @@ def test_decomposition_adds_no_shuffle_and_no_join(stored):
     assert "Join" not in plan(trained)
 
 
+def test_decomposition_runs_once_per_series(stored):
+    prepared = prepare(stored, "MS", 3, 8)
+    for out in (pipeline.training_frame(prepared, 12), pipeline.future_frame(prepared, 6, "MS", 12)):
+        assert plan(out).count("ArrowEvalPython") == 1
+    columns = ["ds", "y", *decompose.FEATURES]
+    rows = decompose.series_rows(pipeline.training_frame(prepared, 12), columns[1:])
+    folded = forecast._refit_features(forecast._fold_series(rows, 2, 3, 0), 12, 3, columns)
+    train = folded.select("unique_id", decompose.explode_rows(F.col("history")).alias("r"))
+    # Once for the panel's own features, once for the fold's.
+    assert plan(train.select("unique_id", "r.*")).count("ArrowEvalPython") == 2
+
+
 @pytest.mark.parametrize("label", sorted(POLICIES))
 def test_lag_features_need_one_shuffle(stored, label):
     assert hash_exchanges(features.lag_features(stored, spec_for(label))) == 1
