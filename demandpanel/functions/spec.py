@@ -56,6 +56,13 @@ class ModelSpec:
     target_transforms: tuple[str, ...] = ()
     models: Mapping[str, TreeModel] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if self.target_transforms not in ((), (DIFFERENCE,), (SCALE,), (DIFFERENCE, SCALE)):
+            raise ValueError(
+                f"Target transforms {self.target_transforms} are not supported: at most one "
+                f"{DIFFERENCE!r}, then at most one {SCALE!r}"
+            )
+
     def lag_features(self) -> dict[str, tuple[int, Transform | None]]:
         """Feature name -> (lag, transform), plain lags first."""
         out: dict[str, tuple[int, Transform | None]] = {f"lag{k}": (k, None) for k in self.lags}

@@ -80,11 +80,12 @@ def place_on_calendar(
         .withColumn("_grid", _grid(df, f, bounds))
     )
     first, last = F.col("_grid.first"), F.col("_grid.last")
-    stop = F.coalesce(f.snap(F.col("_next"), first) - f.step, last)
-    own = f.on_grid(F.col(TIME), first)
+    start = F.greatest(f.snap(F.col("_at"), first), first)
+    stop = F.least(f.snap(F.col("_next"), first) - f.step, last)
+    own = f.on_grid(F.col(TIME), first) & F.col("_at").between(first, last)
     placed = rows.withColumns(
         {
-            "_start": F.when(F.col("_is_first"), first).otherwise(f.snap(F.col("_at"), first)),
+            "_start": F.when(F.col("_is_first"), first).otherwise(start),
             # A row on the calendar always covers its own period, repeats included.
             "_stop": F.when(own, F.greatest(stop, F.col("_at"))).otherwise(stop),
             "_own": own,
@@ -125,6 +126,7 @@ def fill_calendar(
     columns get the value of the last date.
 
     ``bounds`` may be a ``(lo, hi)`` frame or pair; by default it is read from ``df``.
+    Rows outside them are off the calendar.
     """
     return spread_over_calendar(place_on_calendar(df, freq, static, bounds), freq, static)
 
@@ -132,7 +134,11 @@ def fill_calendar(
 def off_calendar_rows(df: DataFrame, freq: str | Frequency, bounds: Bounds = None) -> DataFrame:
     """Rows that ``fill_calendar`` loses because their date is not on the calendar."""
     f = parse_frequency(freq)
-    return df.where(~f.on_grid(F.col(TIME), _grid(df, f, bounds)["first"]))
+    grid = F.col("_grid")
+    kept = f.on_grid(F.col(TIME), grid["first"]) & f.ceil(F.col(TIME)).between(
+        grid["first"], grid["last"]
+    )
+    return df.withColumn("_grid", _grid(df, f, bounds)).where(~kept).drop("_grid")
 
 
 def future_calendar(

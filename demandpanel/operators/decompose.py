@@ -90,7 +90,9 @@ def mstl_features(df: DataFrame, season_length: int) -> DataFrame:
     zipped = F.arrays_zip("rows", F.col("parts.trend"), F.col("parts.seasonal"))
     out = parts.select(ID, explode_rows(zipped).alias("r"))
     columns = [c for c in df.columns if c not in (ID, *FEATURES)]
-    return out.select(ID, *[F.col(f"r.rows.{c}").alias(c) for c in columns], *[f"r.{c}" for c in FEATURES])
+    return out.select(
+        ID, *[F.col(f"r.rows.{c}").alias(c) for c in columns], *[f"r.{c}" for c in FEATURES]
+    )
 
 
 def with_ahead(

@@ -230,21 +230,21 @@ def _tail_length(spec: ModelSpec) -> int:
 
 
 def _transformed(df: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Add ``z``, the transformed history array, and what inverts the transforms."""
-    out = df.withColumn("z", F.expr(f"transform(history, r -> r.{TARGET})"))
-    out = out.withColumn("level", F.element_at("z", -1))
+    """Add ``_z``, the transformed history array, and what inverts the transforms."""
+    out = df.withColumn("_z", F.expr(f"transform(history, r -> r.{TARGET})"))
+    out = out.withColumn("_level", F.element_at("_z", -1))
     for name in spec.target_transforms:
         if name == DIFFERENCE:
             # The longer array pads the shorter one with nulls; the last pair is cut off.
-            before = "concat(array(cast(null as double)), z)"
-            changes = f"slice(zip_with(z, {before}, (v, w) -> v - w), 1, size(z))"
-            out = out.withColumn("z", F.expr(changes))
+            before = "concat(array(cast(null as double)), _z)"
+            changes = f"slice(zip_with(_z, {before}, (v, w) -> v - w), 1, size(_z))"
+            out = out.withColumn("_z", F.expr(changes))
         elif name == SCALE:
-            out = out.withColumn("moments", F.expr(_moments("z")))
-            std = F.expr("sqrt(moments.m2 / greatest(moments.n, 1D))")
-            out = out.withColumns({"centre": F.col("moments.mean"), "scale": scale_of(std)})
-            scaled = F.expr("transform(z, v -> (v - centre) / scale)")
-            out = out.withColumn("z", scaled).drop("moments")
+            out = out.withColumn("_moments", F.expr(_moments("_z")))
+            std = F.expr("sqrt(_moments.m2 / greatest(_moments.n, 1D))")
+            out = out.withColumns({"_centre": F.col("_moments.mean"), "_scale": scale_of(std)})
+            scaled = F.expr("transform(_z, v -> (v - _centre) / _scale)")
+            out = out.withColumn("_z", scaled).drop("_moments")
     return out
 
 
@@ -252,7 +252,7 @@ def _to_target(spec: ModelSpec, z: str, level: str) -> str:
     """SQL that undoes the target transforms of one prediction, last transform first."""
     value = z
     for name in reversed(spec.target_transforms):
-        value = f"({value} * scale + centre)" if name == SCALE else f"({value} + {level})"
+        value = f"({value} * _scale + _centre)" if name == SCALE else f"({value} + {level})"
     return value
 
 
@@ -264,14 +264,14 @@ def _initial_state(df: DataFrame, fitted: FittedLabel) -> DataFrame:
     """
     spec = fitted.spec
     keep = _tail_length(spec)
-    padded = f"concat(array_repeat(cast(null as double), {keep}), z)"
+    padded = f"concat(array_repeat(cast(null as double), {keep}), _z)"
     fields = {
         "tail": f"slice({padded}, -{keep}, {keep})",
-        "level": "level",
+        "level": "_level",
         "done": "cast(array() as array<double>)",
     }
     for name, (lag, t) in spec.lag_features().items():
-        seen = f"slice(z, 1, greatest(size(z) - {lag - 1}, 0))"
+        seen = f"slice(_z, 1, greatest(size(_z) - {lag - 1}, 0))"
         if isinstance(t, ExpandingStd):
             fields[name] = _moments(seen)
         elif isinstance(t, ExponentialMean):
@@ -279,13 +279,18 @@ def _initial_state(df: DataFrame, fitted: FittedLabel) -> DataFrame:
             fields[name] = (
                 f"aggregate({known}, get({known}, 0), (m, v) -> m + {t.alpha}D * (v - m))"
             )
-    kept = [c for c in df.columns if c not in ("z", "level", "history")]
+    kept = [c for c in df.columns if c not in ("_z", "_level", "history")]
     state = F.expr(_struct(fields))
-    return df.select(*kept, *[state.alias(f"state_{m}") for m in fitted.models])
+    return df.select(*kept, *[state.alias(_state(m)) for m in fitted.models])
+
+
+def _state(model: str) -> str:
+    return f"_state_{model}"
 
 
 def _struct(fields: Mapping[str, str]) -> str:
-    return f"named_struct({', '.join(f'{chr(39)}{k}{chr(39)}, {v}' for k, v in fields.items())})"
+    entries = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"named_struct({entries})"
 
 
 def _state_feature(spec: ModelSpec, state: str, name: str, lag: int, t) -> str:
@@ -340,7 +345,7 @@ def _predict_series(series: DataFrame, fitted: FittedLabel, horizon: int) -> Dat
             *[f"ahead[{step}].`{c}`" for c in fitted.exogenous],
         ]
         for name, model in fitted.models.items():
-            state = f"state_{name}"
+            state = _state(name)
             inside = [_state_feature(spec, state, n, lag, t) for n, (lag, t) in lagged]
             df = model.transform(df.withColumn("features", _feature_vector([*outside, *inside])))
             # Each model recurses on its own predictions.
@@ -349,7 +354,7 @@ def _predict_series(series: DataFrame, fitted: FittedLabel, horizon: int) -> Dat
         if (step + 1) % STEPS_PER_CHECKPOINT == 0 and step + 1 < horizon:
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint()
-    done = [F.col(f"state_{name}.done") for name in fitted.models]
+    done = [F.col(f"{_state(name)}.done") for name in fitted.models]
     steps = F.transform(
         F.sequence(F.lit(0), F.lit(horizon - 1)), lambda i: row_mean([F.get(d, i) for d in done])
     )
@@ -563,7 +568,7 @@ def importance_label(spark: SparkSession, fitted: FittedLabel) -> DataFrame:
     for name, model in fitted.models.items():
         values = _importances(model, fitted.feature_names)
         if len(values) != len(fitted.feature_names):
-            raise ValueError(f"{name}: {len(values)} importances for {len(fitted.feature_names)} features")
+            raise ValueError(f"{name}: {len(values)} values for {fitted.feature_names}")
         rows += [
             (fitted.label, name, feature, float(v))
             for feature, v in zip(fitted.feature_names, values)

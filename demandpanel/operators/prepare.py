@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.functions.columns import ID, LABEL, TARGET, TIME, by_series
+from demandpanel.functions.columns import LABEL, TARGET, TIME, by_series
 from demandpanel.functions.frequency import Frequency, parse_frequency
 from demandpanel.operators.calendar import Bounds, place_on_calendar, spread_over_calendar
 from demandpanel.operators.classify import demand_aggregates, demand_label, demand_ratios

@@ -34,7 +34,8 @@ def layout_by_series(df: DataFrame, column: str = ID, partitions: int | None = N
     """
     require_text("column", column)
     require_columns(df, [column, TIME])
-    ranged = df.repartitionByRange(partitions, column) if partitions else df.repartitionByRange(column)
+    keys = [partitions, column] if partitions else [column]
+    ranged = df.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(column, TIME)
 
 
@@ -188,7 +189,8 @@ def fit_all(
     fitted = {}
     for label in LABELS:
         spec = policies[label] if label in policies else spec_for(label)
-        model = fit_label(_label_rows(training, label), label, spec, exogenous, list(static or []), scale)
+        rows = _label_rows(training, label)
+        model = fit_label(rows, label, spec, exogenous, list(static or []), scale)
         if model is not None:
             fitted[label] = model
     return fitted

@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Trees relative to the policies in registered model queries: the policies ask for up to
 # 1,000 trees per label.
-TREE_SCALE = 0.006
+TREE_SCALE = 0.004
 
 
 def _r(name: str | Column, alias: str | None = None) -> Column:
@@ -228,18 +228,16 @@ def importance_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecasts of the fitted and of the reloaded model side by side."""
+    """Forecasts of the fitted and of the reloaded models side by side."""
     rows = _stored_training(spark, sf)
-    label = "Intermittent"
-    of_label = rows.where(F.col("classification") == label).drop("classification")
-    fitted = forecast.fit_label(
-        of_label, label, spec_for(label), decompose.FEATURES, scale=TREE_SCALE
-    )
-    path = f"{_shared_folder(spark)}/model-{uuid.uuid4().hex}"
-    forecast.save_fitted(spark, fitted, path)
-    loaded = forecast.load_fitted(spark, path)
-    before = pipeline.forecast_all(rows, "MS", 12, 3, fitted={label: fitted})
-    after = pipeline.forecast_all(rows, "MS", 12, 3, fitted={label: loaded})
+    fitted = pipeline.fit_all(rows, scale=TREE_SCALE / 2)
+    folder = f"{_shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    loaded = {}
+    for label, model in fitted.items():
+        forecast.save_fitted(spark, model, f"{folder}/{label}")
+        loaded[label] = forecast.load_fitted(spark, f"{folder}/{label}")
+    before = pipeline.forecast_all(rows, "MS", 12, 2, fitted=fitted)
+    after = pipeline.forecast_all(rows, "MS", 12, 2, fitted=loaded)
     return before.join(after.withColumnRenamed("y_pred", "y_pred_loaded"), ["unique_id", "ds"])
 
 

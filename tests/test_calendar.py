@@ -90,6 +90,21 @@ def test_given_bounds_extend_the_calendar(panel):
     assert [r[2] for r in out] == [None, 2.0, None]
 
 
+def test_narrow_bounds_cut_the_panel(panel):
+    df = panel({"a": [1, 2, 3, 4, 5], "b": [7], "c": [("2024-05-01", 9)]})
+    out = rows(fill_calendar(df, "MS", bounds=("2024-02-01", "2024-03-31")))
+    assert [(r[0], r[2]) for r in out] == [
+        ("a", 2.0), ("a", 3.0), ("b", None), ("b", None), ("c", None), ("c", None),
+    ]
+    lost = rows(off_calendar_rows(df, "MS", bounds=("2024-02-01", "2024-03-31")))
+    assert [r[2] for r in lost] == [1.0, 4.0, 5.0, 7.0, 9.0]
+
+
+def test_bounds_without_any_period(panel):
+    df = panel({"a": [("2024-01-10", 1), ("2024-01-20", 2)]})
+    assert rows(fill_calendar(df, "MS")) == []
+
+
 def test_column_order_keeps_target_last(spark, panel):
     from pyspark.sql import functions as F
 

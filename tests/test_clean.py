@@ -150,3 +150,14 @@ def test_report(panel):
     df = panel(SERIES)
     row = clean.cleaning_report(df, clean.drop_zero_only(df)).first()
     assert (row.series_before, row.series_dropped, row.rows_dropped) == (8, 2, 5)
+
+
+def test_prepare_keeps_static_columns(spark, sf):
+    from demandpanel.operators.prepare import prepare
+
+    df = panels.part_month_static(spark, sf)
+    out = prepare(df, "MS", 3, 8, ["p_brand", "p_size"])
+    assert out.columns == ["unique_id", "ds", "p_brand", "p_size", "y", "classification"]
+    plain = prepare(df.select("unique_id", "ds", "y"), "MS", 3, 8)
+    assert out.drop("p_brand", "p_size").exceptAll(plain).isEmpty()
+    assert out.where("y is null or p_brand is null or p_size is null").isEmpty()

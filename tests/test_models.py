@@ -49,6 +49,14 @@ def test_specs_survive_json():
         spec_for("Seasonal")
 
 
+@pytest.mark.parametrize(
+    "transforms", [("local_scale", "difference"), ("difference", "difference"), ("log",)]
+)
+def test_unsupported_target_transforms_raise(transforms):
+    with pytest.raises(ValueError):
+        ModelSpec("bad", (1,), target_transforms=transforms)
+
+
 def test_unknown_model_kind_raises(spark):
     with pytest.raises(ValueError):
         forecast.build_estimator(TreeModel("linear"))
@@ -251,15 +259,15 @@ def test_static_columns(spark, training, monkeypatch):
     """String statics are indexed; above the size limit they are hashed instead."""
     label = "Erratic"
     rows = label_rows(training, label).withColumns(
-        {"segment": F.split("unique_id", "_")[1], "size": F.length("unique_id")}
+        {"segment": F.split("unique_id", "_")[1], "level": F.length("unique_id")}
     )
     spec = ModelSpec("s", (1, 2), {}, ("difference",), {"gbt": TreeModel("gbt", trees=2, depth=3)})
     last = rows.agg(F.max("ds").alias("hi"))
     for limit in (10_000, 2):
         monkeypatch.setattr(forecast, "MAX_INDEXED_VALUES", limit)
-        fitted = forecast.fit_label(rows, label, spec, FEATURES, ["segment", "size"])
+        fitted = forecast.fit_label(rows, label, spec, FEATURES, ["segment", "level"])
         assert fitted.hashed == (() if limit > 2 else ("segment",))
-        assert fitted.feature_names == ["segment", "size", *FEATURES, "lag1", "lag2"]
+        assert fitted.feature_names == ["segment", "level", *FEATURES, "lag1", "lag2"]
         out = forecast.forecast_label_ahead(fitted, rows, 2, "MS", 12, last)
         assert out.count() == 2 * rows.select("unique_id").distinct().count()
         assert out.where("y_pred is null").isEmpty()
