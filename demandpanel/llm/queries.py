@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandpanel.llm import bpe, decontaminate, sharding
+from demandpanel.llm import bpe, decontaminate, fingerprint, sharding
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -56,10 +56,15 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.compare_edited(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_byte_bpe": op3_byte_bpe,
     "op7_sharding": op7_sharding,
+    "op10_fingerprint": op10_fingerprint,
 }
 ORACLE: dict[str, str] = {}
 
