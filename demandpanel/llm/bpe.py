@@ -18,10 +18,12 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,9 @@ from pyspark.sql import types as T
 LOOKAHEAD = 2
 LEAF_CHARS = 8192
 LEAF_BYTES = 64
+LEAF_TOKENS = 1 << 14
+SHORT_BYTES = 24
+SLICE_ROWS = 256
 CACHE_PIECES = 1 << 17
 CACHE_PIECE_CHARS = 32
 
@@ -40,20 +45,56 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class Pieces(dict):
+    """Token ids by match of the pattern, filled when asked. Of the last two generations of
+    ``CACHE_PIECES`` short matches none is forgotten."""
+
+    def __init__(self, encode: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        if (ids := self.old.get(text)) is None:
+            ids = self.encode(text)
+        if len(text) <= CACHE_PIECE_CHARS:
+            if len(self) >= CACHE_PIECES:
+                self.old = dict(self)
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class Codec:
     """Encode and decode with a table of ranks and a pattern that splits texts."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        by_rank = {rank: token for token, rank in ranks.items()}
+        self.tokens = pa.array(
+            [by_rank.get(k) for k in range(max(by_rank, default=-1) + 1)], pa.large_binary()
+        )
         self.match = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache = Pieces(self.piece)
 
     def merge(self, data: bytes) -> list[bytes]:
         """Merge neighbours by lowest rank, leftmost first, until no pair has a rank."""
+        if len(data) > SHORT_BYTES:
+            return self._merge_by_heap(data)
+        get, none = self.ranks.get, len(self.tokens)
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (low := min(pairs)) < none:
+            i = pairs.index(low)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+        return parts
+
+    def _merge_by_heap(self, data: bytes) -> list[bytes]:
         n, rank = len(data), self.ranks.get
-        if n <= 1:
-            return [data] if n else []
         end = list(range(1, n + 1))  # of the part that begins here; 0 once swallowed
         left = list(range(-1, n))
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
@@ -95,15 +136,10 @@ class Codec:
         return self.join_tokens(self.split_bytes(data[:half]), self.split_bytes(data[half:]))
 
     def piece(self, text: str) -> tuple[int, ...]:
-        if (ids := self.cache.get(text)) is None:
-            data = text.encode()
-            tokens = [data] if data in self.ranks else self.split_bytes(data)
-            ids = tuple(map(self.ranks.__getitem__, tokens))
-            if len(text) <= CACHE_PIECE_CHARS:
-                if len(self.cache) >= CACHE_PIECES:
-                    self.cache.clear()
-                self.cache[text] = ids
-        return ids
+        """Token ids of one match of the pattern."""
+        data = text.encode()
+        tokens = [data] if data in self.ranks else self.split_bytes(data)
+        return tuple(map(self.ranks.__getitem__, tokens))
 
     def join_pieces(self, left: list[str], right: list[str]) -> list[str]:
         """Join the matches of two neighbouring texts; the left list is used up."""
@@ -140,14 +176,22 @@ class Codec:
         half = len(text) // 2
         return self.join_pieces(self.pieces(text[:half]), self.pieces(text[half:]))
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text; none for null or an empty text."""
-        return list(chain.from_iterable(map(self.piece, self.pieces(text)))) if text else []
+        codes = map(self.cache.__getitem__, self.pieces(text) if text else ())
+        return np.fromiter(chain.from_iterable(codes), np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the tokens, halves put together up the tree."""
-        if len(ids) <= LEAF_CHARS:
-            return b"".join(map(self.tokens.__getitem__, ids))
+        if len(ids) <= LEAF_TOKENS:
+            if not len(ids):
+                return b""
+            found = self.tokens.take(pa.array(ids))
+            if found.null_count:
+                raise ValueError("no token has one of these ids")
+            _, starts, data = found.buffers()
+            stop = np.frombuffer(starts, np.int64)[len(ids)]
+            return data[: int(stop)].to_pybytes() if stop else b""
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
@@ -169,23 +213,14 @@ def _codec(ranks: Broadcast, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def _with_column(docs: DataFrame, column: str, kind: T.DataType, source: str, make) -> DataFrame:
-    """``docs`` with ``column`` (added or replaced) made from the values of ``source``."""
-    keep = [f for f in docs.schema.fields if f.name != column]
-    names = [f.name for f in keep]
-    arrow = pa.list_(pa.int32()) if isinstance(kind, T.ArrayType) else pa.binary()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        convert = make()
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 256):  # long texts make many tokens
-                batch = whole.slice(lo, 256)
-                values = [convert(x) for x in batch.column(source).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(n) for n in names], pa.array(values, arrow)], [*names, column]
-                )
-
-    return docs.mapInArrow(run, T.StructType([*keep, T.StructField(column, kind, False)]))
+def _in_slices(batches: Iterator[pa.RecordBatch], names: list[str], column: str, make):
+    """Few rows at a time: long texts make many tokens."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, SLICE_ROWS):
+            batch = whole.slice(lo, SLICE_ROWS)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], make(batch)], [*names, column]
+            )
 
 
 def encode(
@@ -196,15 +231,42 @@ def encode(
     All other columns and repeated rows stay as they are; a column named like ``ids`` is
     replaced. No rows move between partitions.
     """
-    return _with_column(
-        docs, ids, T.ArrayType(T.IntegerType(), False), text, lambda: _codec(ranks, pattern).encode
-    )
+    keep = [f for f in docs.schema.fields if f.name != ids]
+    kind = T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)
+    names = [f.name for f in keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(ranks, pattern)
+
+        def make(batch: pa.RecordBatch) -> pa.Array:
+            found = [codec.encode(x) for x in batch.column(text).to_pylist()]
+            starts = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            return pa.ListArray.from_arrays(starts, np.concatenate(found))
+
+        return _in_slices(batches, names, ids, make)
+
+    return docs.mapInArrow(run, T.StructType([*keep, kind]))
 
 
 def decode(
     docs: DataFrame, ranks: Broadcast, pattern: str, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
     """Add the bytes that the ids stand for; null ids give no bytes, unknown ids an error."""
-    return _with_column(
-        docs, decoded, T.BinaryType(), ids, lambda: lambda x: _codec(ranks, pattern).decode(x or [])
+    keep = [f for f in docs.schema.fields if f.name != decoded]
+    names = [f.name for f in keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(ranks, pattern)
+
+        def make(batch: pa.RecordBatch) -> pa.Array:
+            column = batch.column(ids)
+            starts = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(column), 0))]
+            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+            found = [codec.decode(flat[a:b]) for a, b in pairwise(starts)]
+            return pa.array(found, pa.binary())
+
+        return _in_slices(batches, names, decoded, make)
+
+    return docs.mapInArrow(
+        run, T.StructType([*keep, T.StructField(decoded, T.BinaryType(), False)])
     )
