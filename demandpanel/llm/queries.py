@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandpanel.llm import bpe, decontaminate, fingerprint, sharding
+from demandpanel.llm import bpe, decontaminate, fingerprint, neardup, sharding
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = decontaminate.hits(docs, table(spark, sf, "benchmark"))
@@ -61,6 +65,7 @@ def op10_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_decontaminate": op2_decontaminate,
     "op3_byte_bpe": op3_byte_bpe,
     "op7_sharding": op7_sharding,
