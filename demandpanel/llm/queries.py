@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandpanel.llm import bpe, decontaminate, fingerprint, neardup, sharding
+from demandpanel.llm import bpe, decontaminate, fingerprint, neardup, repeats, sharding
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -48,6 +48,18 @@ def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 SHARDS = 24
 
 
@@ -68,6 +80,7 @@ QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_decontaminate": op2_decontaminate,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_repeats": op4_repeats,
     "op7_sharding": op7_sharding,
     "op10_fingerprint": op10_fingerprint,
 }
