@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandpanel.llm import bpe, decontaminate, fingerprint, neardup, repeats, sharding
+from demandpanel.llm import (
+    bpe,
+    decontaminate,
+    fingerprint,
+    langid,
+    neardup,
+    quality,
+    repeats,
+    sharding,
+)
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -60,6 +69,21 @@ def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.classify(docs, quality.fit(docs))
+
+
+def op9_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    models = langid.fit(docs.where(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), models, reject=False)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
+    )
+
+
 SHARDS = 24
 
 
@@ -81,7 +105,9 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_repeats": op4_repeats,
+    "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
+    "op9_language": op9_language,
     "op10_fingerprint": op10_fingerprint,
 }
 ORACLE: dict[str, str] = {}
