@@ -1,10 +1,79 @@
-"""Clean a corpus stage by stage; every stage is written and read again before the next."""
+"""Clean a corpus stage by stage; every stage is written and read again before the next.
+
+Each stage works on all documents that the one before kept, and returns the columns of
+``documents``; the last adds token ids and their number.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from demandpanel.llm import bpe, decontaminate, neardup, pii, quality
+from demandpanel.llm.queries import RANKS
+from demandpanel.sources.checkpoints import ensure_checkpoint_dir
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.accepted(docs, quality.fit(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates, the document of the least id."""
+    return neardup.one_of_each(docs).select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words is inside benchmark windows."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    column = "__contamination"
+    found = decontaminate.hits(docs, benchmark, column=column)
+    hit = decontaminate.n_hit(column)
+    bad = (hit > 0) & (hit * 20 >= F.col(column)["n_words"])
+    return found.where(~bad).select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind, and ``n_chars`` of the new texts."""
+    return pii.redact(docs, pii.fit(docs), size="n_chars").select(*docs.columns)
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ``n_tokens`` and ``ids``, and the text as decoded from the ids."""
+    ranks = bpe.broadcast_ranks(spark, public_tokenizers.path(RANKS))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    both = bpe.decode(encoded.drop("text"), ranks, public_tokenizers.PATTERN)
+    return both.select(
+        "doc_id",
+        F.decode("decoded", "UTF-8").alias("text"),
+        *[c for c in docs.columns if c not in ("doc_id", "text")],
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+    )
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminated),
+    ("personal_data", without_personal_data),
+    ("tokens", tokenized),
+]
+
+#: Trained models and MinHash bands have no SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage keeps goes to the folder of checkpoints."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

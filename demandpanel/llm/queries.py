@@ -11,7 +11,9 @@ from demandpanel.llm import (
     decontaminate,
     fingerprint,
     langid,
+    lm,
     neardup,
+    pii,
     quality,
     repeats,
     sharding,
@@ -69,11 +71,35 @@ def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    training = docs.where(~held_out)
+    counts = lm.held_fast(lm.count_words(training))
+    model = lm.fit(training, counts)
+    return lm.score(docs, counts, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.vocabulary.total).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return quality.classify(docs, quality.fit(docs))
 
 
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    marks = F.split("base", ",")
+    counts = [_marked(marks, kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def _marked(marks, kind: str):
+    return F.size(F.filter(marks, lambda m: m.startswith(f"{kind}:"))).cast("long")
+
+
 def op9_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -105,8 +131,10 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_repeats": op4_repeats,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
+    "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_fingerprint": op10_fingerprint,
 }
