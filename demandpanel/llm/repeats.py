@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandpanel.llm.textio import _BASE, _BYTE, Chunk, chunks, mix, span_hashes
+from demandpanel.sources.checkpoints import ensure_checkpoint_dir
 
-WINDOW, GRAM = 100, 32
+WINDOW, GRAM = 100, 16
 #: Bytes of segments in one suffix array, and different segments of a minimizer beyond which
 #: its windows are dealt out singly by content.
 ARRAY_BYTES, SEGMENTS = 1 << 19, 2000
@@ -195,10 +196,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     segments = docs.mapInArrow(cut, "doc long, start long, count long, mini long, content long")
     often = segments.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    some = segments.join(often.select("mini"), "mini", "left_semi")
+    # Checkpoints: what follows reads each of these several times.
+    ensure_checkpoint_dir(docs.sparkSession)
+    some = segments.join(often.select("mini"), "mini", "left_semi").checkpoint()
     first = some.groupBy("mini", "content").agg(
         F.min(F.struct("doc", "start", "count")).alias("first"), F.count(F.lit(1)).alias("n")
-    )
+    ).checkpoint()
     copies = some.join(
         first.where("n > 1").select("mini", "content", "first"), ["mini", "content"]
     ).where("doc <> first.doc OR start <> first.start")
