@@ -66,12 +66,12 @@ def classify_demand(df: DataFrame) -> DataFrame:
 
 
 def class_distribution(metrics: DataFrame) -> DataFrame:
-    """Number of series per label."""
-    return metrics.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n_series"))
+    """Number of series per label, in the order of labels."""
+    return metrics.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n_series")).orderBy(LABEL)
 
 
 def class_dispersion(metrics: DataFrame) -> DataFrame:
-    """Spread of both metrics inside each label."""
+    """Spread of both metrics inside each label, in the order of labels."""
     aggregates = [F.count(F.lit(1)).alias("n_series")]
     for name in ("adi", "cv2"):
         aggregates += [
@@ -88,4 +88,4 @@ def class_dispersion(metrics: DataFrame) -> DataFrame:
             F.col(f"_{name}")[0].alias(f"{name}_p50"),
             F.col(f"_{name}")[1].alias(f"{name}_p90"),
         ]
-    return spread.select(*columns)
+    return spread.select(*columns).orderBy(LABEL)

@@ -66,32 +66,10 @@ def _boosted_trees(model: TreeModel, trees: int) -> Estimator:
     )
 
 
-def _xgboost(model: TreeModel, trees: int) -> Estimator:
-    from xgboost.spark import SparkXGBRegressor
-
-    return SparkXGBRegressor(
-        features_col="features",
-        label_col=TRANSFORMED,
-        n_estimators=trees,
-        max_depth=model.depth,
-        learning_rate=model.rate,
-        subsample=model.subsample,
-        random_state=model.seed,
-    )
-
-
-def _has_xgboost() -> bool:
-    try:
-        import xgboost.spark  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
 # Builder per model kind; add an entry to plug in another Spark ML regressor.
 ESTIMATORS: dict[str, Callable[[TreeModel, int], Estimator]] = {
     "lgbm": _boosted_trees,
-    "xgb": _xgboost if _has_xgboost() else _boosted_trees,
+    "xgb": _boosted_trees,
     "gbt": _boosted_trees,
 }
 
@@ -398,10 +376,11 @@ def forecast_label(
     require_columns(future, [ID, TIME, *fitted.exogenous])
     coming = series_rows(future, list(fitted.exogenous)).withColumnRenamed("rows", "ahead")
     short = F.raise_error(F.concat(F.lit("Too few future rows for series "), F.col(ID)))
-    coming = coming.where(
+    # A left join: a series without any future rows is an error, too.
+    series = series_rows(rows, [TARGET, *fitted.static]).join(coming, ID, "left")
+    series = series.where(
         F.when(F.size("ahead") >= horizon, F.lit(True)).otherwise(short.cast("boolean"))
     )
-    series = series_rows(rows, [TARGET, *fitted.static]).join(coming, ID)
     return _forecast_rows(fitted, series, horizon)
 
 
@@ -631,6 +610,6 @@ def _model_class(name: str) -> type[Model]:
     import importlib
 
     module, _, cls = name.rpartition(".")
-    if not module.startswith(("pyspark.ml.", "xgboost.spark")):
+    if not module.startswith("pyspark.ml."):
         raise ValueError(f"Not a Spark ML model class: {name}")
     return getattr(importlib.import_module(module), cls)

@@ -164,6 +164,10 @@ def test_own_future_frame_gives_the_same_forecast(training, fitted, forecasts):
     assert both.where(F.abs(F.col("given") - F.col("y_pred")) > 1e-6).isEmpty()
     with pytest.raises(PySparkException, match="Too few future rows"):
         forecast.forecast_label(fitted[label], rows, future, 5).collect()
+    one = rows.agg(F.min("unique_id")).first()[0]
+    lost = future.where(F.col("unique_id") != one)
+    with pytest.raises(PySparkException, match="Too few future rows"):
+        forecast.forecast_label(fitted[label], rows, lost, 1).collect()
 
 
 def test_long_horizons_checkpoint(training, fitted):
