@@ -11,6 +11,7 @@ to the left or right.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ WINDOW, GRAM = 100, 16
 #: Bytes of segments in one suffix array, and different segments of a minimizer beyond which
 #: its windows are dealt out singly by content.
 ARRAY_BYTES, SEGMENTS = 1 << 19, 2000
+#: Segments that a task holds before it packs and sends them.
+RECORDS = 1 << 20
 
 
 def _grams(data: np.ndarray, gram: int) -> np.ndarray:
@@ -146,7 +149,17 @@ def _before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _later_copies(doc: np.ndarray, start: np.ndarray, parts: list[bytes], window: int):
-    """Spans inside ``parts`` that repeat an earlier one: document, first byte, length."""
+    """Spans inside ``parts`` that repeat an earlier one: document, first byte, length.
+
+    Parts of which no window is met twice stay out of the suffix array.
+    """
+    data, end, part, _ = _lined_up(parts)
+    begin = np.flatnonzero(end - np.arange(len(data)) >= window)
+    _, which, times = np.unique(
+        span_hashes(data, begin, begin + window), return_inverse=True, return_counts=True
+    )
+    some = np.unique(part[begin[times[which] > 1]])
+    doc, start, parts = doc[some], start[some], [parts[i] for i in some]
     data, end, part, at = _lined_up(parts)
     order, common = suffix_array(data, end)
     found = maximal_intervals(common, _before(data, at)[order], window)
@@ -169,94 +182,224 @@ def _later_copies(doc: np.ndarray, start: np.ndarray, parts: list[bytes], window
 
 
 SPAN = "doc long, start long, length long"
+#: Segments (or spans) packed by bucket, one binary per column, and what a bucket finds.
+PACKED = "bucket int, mini binary, content binary, doc binary, start binary, size binary"
+FOUND = f"{SPAN}, mini long, kinds int"
+DEALT = "mini long, salt long, doc long, start long, length long, part binary"
+
+
+def _frame(schema: str, *columns) -> pa.RecordBatch:
+    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    of = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    arrays = [pa.array(x, of[k]) for x, k in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, list(names))
+
+
+def _copies_of_first(doc: np.ndarray, start: np.ndarray, content: np.ndarray):
+    """Segments that are the first of their content, and those that copy one elsewhere."""
+    order = np.lexsort((start, doc, content))
+    new = np.r_[True, np.diff(content[order]) != 0]
+    lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    moved = (doc[order] != doc[lead]) | (start[order] != start[lead])
+    return order[new], order[moved]
+
+
+def _joined(doc: np.ndarray, start: np.ndarray, length: np.ndarray):
+    """Spans of one document that touch or overlap, as one."""
+    if not len(doc):
+        return doc, start, length
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], (start + length)[order]
+    owner = np.cumsum(np.r_[0, np.diff(doc) != 0])
+    reach = np.maximum.accumulate(end + owner * (int(end.max()) + 1)) - owner * (int(end.max()) + 1)
+    new = np.r_[True, (np.diff(doc) != 0) | (start[1:] > reach[:-1])]
+    first = np.flatnonzero(new)
+    return doc[first], start[first], reach[np.r_[first[1:], len(doc)] - 1] - start[first]
+
+
+def _packed(mini, content, doc, start, count, parts: int, window: int) -> pa.RecordBatch:
+    """The first segment of each content by the bucket of its minimizer, and spans of the others
+    by the bucket of their document: copies met here are not sent any further."""
+    first, copy = _copies_of_first(doc, start, content)
+    spans = _joined(doc[copy], start[copy], count[copy] + window - 1)
+    rows: list[tuple] = []
+    for bucket, ids, hashes, of, at, size in (
+        ((mini[first] >> 20) % parts, mini[first] & 0xFFFFFFFF, content[first], doc[first], start[first], count[first]),
+        (spans[0] % parts, None, None, *spans),
+    ):
+        order = np.lexsort((at, of, bucket))
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
+        for some in np.split(order, cuts[1:]) if len(order) else []:
+            rows.append(
+                (
+                    int(bucket[some[0]]),
+                    b"" if ids is None else ids[some].astype(np.uint32).tobytes(),
+                    b"" if hashes is None else hashes[some].tobytes(),
+                    np.diff(of[some], prepend=0).tobytes(),  # near zero: compresses well
+                    at[some].astype(np.uint32).tobytes(),
+                    size[some].astype(np.uint32).tobytes(),
+                )
+            )
+    return _frame(PACKED, *([r[k] for r in rows] for k in range(6)))
 
 
-def _spans(doc, start, length) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x, pa.int64()) for x in (doc, start, length)], ["doc", "start", "length"]
-    )
+def _dealt(rows: list[tuple], earliest: dict[bytes, tuple], copies: list) -> pa.RecordBatch:
+    """Rows ``DEALT``: segments, single windows (their salts begin at 1), and spans."""
+    for one, (doc, start, mini, salts) in earliest.items():
+        salt = 1 + int.from_bytes(hashlib.blake2b(one, digest_size=8).digest()) % salts
+        rows.append((mini, salt, doc, start, len(one), one))
+    if copies:
+        for doc, start, length in zip(*(x.tolist() for x in _joined(*np.array(copies).T)), strict=True):
+            rows.append((0, -1 - doc % 1024, doc, start, length, None))
+    return _frame(DEALT, *([r[k] for r in rows] for k in range(6)))
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc, start, length``: spans of the texts of ``docs (doc, text)`` that a string of
-    ``window`` bytes or more covers which also starts earlier, in a smaller document or before
-    it in the same. Spans may overlap; together they cover all such bytes."""
+def cut_segments(docs: DataFrame, parts: int, window: int, gram: int) -> DataFrame:
+    """Segments of ``docs (doc, text)`` as rows ``PACKED``; no task holds more than about
+    ``RECORDS`` of them at once."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
+            ids = batch.column("doc").to_numpy()
             for chunk in chunks(batch.column("text")):
                 row, start, count, mini, content = segments_of(chunk, window, gram)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc").slice(chunk.lo, chunk.hi - chunk.lo).take(row),
-                        *[pa.array(x, pa.int64()) for x in (start, count, mini, content)],
-                    ],
-                    ["doc", "start", "count", "mini", "content"],
-                )
+                held.append((mini, content, ids[chunk.lo + row], start, count))
+                if sum(len(h[0]) for h in held) >= RECORDS:
+                    yield _packed(*map(np.concatenate, zip(*held, strict=True)), parts, window)
+                    held = []
+        if held:
+            yield _packed(*map(np.concatenate, zip(*held, strict=True)), parts, window)
+
+    return docs.mapInArrow(run, PACKED)
+
+
+def _matched(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Of one bucket: spans of copies (no ``kinds``), and the first of every content whose
+    minimizer has several."""
+    held: list[list[np.ndarray]] = []
+    spans: list[list[np.ndarray]] = []
+    for batch in batches:
+        for ids, hashes, of, at, size in zip(
+            *(batch.column(c).to_pylist() for c in batch.schema.names[1:]), strict=True
+        ):
+            place = [
+                np.cumsum(np.frombuffer(of, np.int64)),
+                *(np.frombuffer(x, np.uint32).astype(np.int64) for x in (at, size)),
+            ]
+            if ids:
+                held.append([np.frombuffer(ids, np.uint32), np.frombuffer(hashes, np.int64), *place])
+            else:
+                spans.append(place)
+    if held:
+        mini, content, doc, start, count = map(np.concatenate, zip(*held, strict=True))
+        held = []
+        first, copy = _copies_of_first(doc, start, content)
+        spans.append([doc[copy], start[copy], count[copy] + window - 1])
+        _, which, kinds = np.unique(mini[first], return_inverse=True, return_counts=True)
+        kinds = kinds[which]
+        first, kinds = first[kinds > 1], kinds[kinds > 1]
+        yield _frame(FOUND, doc[first], start[first], count[first], mini[first].astype(np.int64), kinds)
+    if spans:
+        doc, start, length = _joined(*map(np.concatenate, zip(*spans, strict=True)))
+        none = np.zeros(len(doc), np.int64)
+        yield _frame(FOUND, doc, start, length, none, none)
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``doc, start, length``: spans of the texts of ``docs (doc, text)`` that a string of
+    ``window`` bytes or more covers which also starts earlier, in a smaller document or before
+    it in the same. Spans may overlap; together they cover all such bytes. Rows without ``doc``
+    are not compared.
 
-    segments = docs.mapInArrow(cut, "doc long, start long, count long, mini long, content long")
-    often = segments.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Checkpoints: what follows reads each of these several times.
-    ensure_checkpoint_dir(docs.sparkSession)
-    some = segments.join(often.select("mini"), "mini", "left_semi").checkpoint()
-    first = some.groupBy("mini", "content").agg(
-        F.min(F.struct("doc", "start", "count")).alias("first"), F.count(F.lit(1)).alias("n")
-    ).checkpoint()
-    copies = some.join(
-        first.where("n > 1").select("mini", "content", "first"), ["mini", "content"]
-    ).where("doc <> first.doc OR start <> first.start")
-    copies = copies.select("doc", "start", (F.col("count") + window - 1).alias("length"))
-    kinds = first.groupBy("mini").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    differing = first.join(kinds, "mini").select("mini", "kinds", "first.*")
-    wanted = differing.join(docs, "doc")
+    Segments travel as packed records of some 20 bytes, after each task has collapsed equal
+    ones. What the buckets find is written to the folder of checkpoints, as two plans read it.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = cut_segments(docs.where("doc IS NOT NULL"), parts, window, gram)
+    found = packed.repartitionById(parts, F.col("bucket")).mapInArrow(
+        lambda batches: _matched(batches, window), FOUND
+    )
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/repeats-{uuid.uuid4().hex}"
+    found.write.parquet(path)
+    found = spark.read.schema(FOUND).parquet(path)
+    copies = found.where("kinds = 0").select("doc", "start", "length")
+    wanted = found.where("kinds > 0").groupBy("doc").agg(
+        F.collect_list(F.struct("mini", "kinds", "start", "length")).alias("wanted")
+    )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of segments; windows one by one, with a salt of their own, if there are
-        very many different segments."""
+        very many different segments. Of equal windows in a batch only the earliest is dealt;
+        the others are spans already, without bytes."""
         for batch in batches:
-            rows = []
             texts = batch.column("text").cast(pa.binary())
-            columns = (batch.column(c).to_pylist() for c in ("mini", "kinds", "doc", "start", "count"))
-            for i, (mini, kinds, doc, start, count) in enumerate(zip(*columns, strict=True)):
-                part = texts[i].as_buffer()[start : start + count + window - 1].to_pybytes()
-                if kinds <= SEGMENTS:
-                    rows.append((mini, 0, doc, start, part))
+            rows: list[tuple] = []
+            earliest: dict[bytes, tuple] = {}
+            copies: list[tuple[int, int, int]] = []
+            for i, (doc, segments) in enumerate(
+                zip(batch.column("doc").to_pylist(), batch.column("wanted").to_pylist(), strict=True)
+            ):
+                if not segments or not texts[i].is_valid:
                     continue
-                salts = -(-kinds // SEGMENTS)
-                for k in range(count):
-                    one = part[k : k + window]
-                    salt = int.from_bytes(hashlib.blake2b(one, digest_size=8).digest()) % salts
-                    rows.append((mini, salt, doc, start + k, one))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[k] for r in rows], pa.binary() if k == 4 else pa.int64())
-                    for k in range(5)
-                ],
-                ["mini", "salt", "doc", "start", "part"],
-            )
-
-    dealt = wanted.select("mini", "kinds", "doc", "start", "count", "text").mapInArrow(
-        deal, "mini long, salt long, doc long, start long, part binary"
-    )
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "mini", "salt").sortWithinPartitions("mini", "salt")
+                data = texts[i].as_buffer()
+                for s in segments:
+                    start, count = s["start"], s["length"]
+                    part = data[start : start + count + window - 1].to_pybytes()
+                    if s["kinds"] <= SEGMENTS:
+                        rows.append((s["mini"], 0, doc, start, len(part), part))
+                        continue
+                    salts = s["kinds"] * (window - gram + 1) // SEGMENTS + 1
+                    for k in range(len(part) - window + 1):
+                        one, here = part[k : k + window], (doc, start + k, s["mini"], salts)
+                        met = earliest.setdefault(one, here)
+                        if met[:2] != here[:2]:
+                            earliest[one], later = (here, met) if here < met else (met, here)
+                            copies.append((*later[:2], window))
+                if len(rows) + len(earliest) >= 20_000:
+                    yield _dealt(rows, earliest, copies)
+                    rows, earliest, copies = [], {}, []
+            yield _dealt(rows, earliest, copies)
+
+    # A left join, though only documents with segments matter: so the texts are shuffled once,
+    # for this join and for the one with the spans.
+    dealt = docs.join(wanted, "doc", "left").select("doc", "text", "wanted").mapInArrow(deal, DEALT)
+    dealt = dealt.repartition(parts, "mini", "salt").sortWithinPartitions("mini", "salt", "doc", "start")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Suffix arrays over as many whole minimizers as ``ARRAY_BYTES`` hold."""
+        """Suffix arrays over as many whole minimizers as ``ARRAY_BYTES`` hold. Windows dealt
+        singly come earliest first, so each that was met before is a copy."""
         doc, start, held, size, last = [], [], [], 0, None
+        met: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
+            spans: list[tuple[int, int, int]] = []
             columns = (batch.column(c).to_pylist() for c in batch.schema.names)
-            for mini, salt, d, s, part in zip(*columns, strict=True):
-                if size >= ARRAY_BYTES and (mini, salt) != last:
-                    yield _spans(*_later_copies(np.array(doc), np.array(start), held, window))
-                    doc, start, held, size = [], [], [], 0
+            for mini, salt, d, s, length, part in zip(*columns, strict=True):
+                if part is None:
+                    spans.append((d, s, length))
+                    continue
+                if (mini, salt) != last:
+                    met = {}
+                    if size >= ARRAY_BYTES:
+                        found = _later_copies(np.array(doc), np.array(start), held, window)
+                        yield _frame(SPAN, *_joined(*found))
+                        doc, start, held, size = [], [], [], 0
                 last = (mini, salt)
+                if salt:
+                    if met.setdefault(part, (d, s)) != (d, s):
+                        spans.append((d, s, length))
+                    continue
                 doc.append(d)
                 start.append(s)
                 held.append(part)
                 size += len(part)
+            if spans:
+                yield _frame(SPAN, *_joined(*np.array(spans, np.int64).T))
         if held:
-            yield _spans(*_later_copies(np.array(doc), np.array(start), held, window))
+            found = _later_copies(np.array(doc), np.array(start), held, window)
+            yield _frame(SPAN, *_joined(*found))
 
     return dealt.mapInArrow(scan, SPAN).unionByName(copies)
 
@@ -276,7 +419,7 @@ def remove_repeats(
     ``window``.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    spans = repeated_spans(source.where("doc IS NOT NULL"), window, gram)
+    spans = repeated_spans(source, window, gram)
     spans = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "length")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
