@@ -173,16 +173,30 @@ class Scorer(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit_scorer(n: int, row, bins, weight, target: np.ndarray) -> Scorer:
-    """Logistic regression on soft targets by Adam, whole batches, both classes weighted alike."""
+def _merged(row: np.ndarray, bins: np.ndarray, weight: np.ndarray):
+    """Entries of one text and bin as one, in small types: the driver holds those of a sample."""
+    at, which = np.unique(row * BINS + bins, return_inverse=True)
+    return (at // BINS).astype(np.int32), (at % BINS).astype(np.uint16), np.bincount(which, weight)
+
+
+def fit_scorer(parts: list[tuple], target: np.ndarray) -> Scorer:
+    """Logistic regression on soft targets by Adam, whole batches, both classes weighted alike.
+
+    ``parts`` are ``(first text, text after the last, row, bins, weight)``, rows counted from
+    the first; every step goes through them one by one.
+    """
+    n = len(target)
     balance = np.where(target > 0.5, 0.5 / max(target.mean(), 1e-3), 0.5 / max(1 - target.mean(), 1e-3))
     balance /= balance.mean()
     w, bias = np.zeros(BINS), 0.0
     m, v, mb, vb = np.zeros(BINS), np.zeros(BINS), 0.0, 0.0
     for t in range(1, EPOCHS + 1):
-        error = (Scorer(w, bias).score(n, row, bins, weight) - target) * balance / n
-        g = np.bincount(bins, error[row] * weight, BINS) + DECAY * w
-        gb = error.sum()
+        g, gb = DECAY * w, 0.0
+        for lo, hi, row, bins, weight in parts:
+            error = Scorer(w, bias).score(hi - lo, row, bins, weight) - target[lo:hi]
+            error *= balance[lo:hi] / n
+            g += np.bincount(bins, error[row] * weight, BINS)
+            gb += error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         fix = np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
@@ -232,14 +246,13 @@ def fit(docs: DataFrame, text: str = "text", seed: str = "doc_id") -> Model:
     n, parts, targets = 0, [], []
     for chunk in chunks(sample.column("text").combine_chunks()):
         stats, count = statistics(chunk)
-        row, bins, weight = features(chunk, stats, count)
-        parts.append((row + n, bins, weight))
+        hi = n + chunk.hi - chunk.lo
+        parts.append((n, hi, *_merged(*features(chunk, stats, count))))
         targets.append(labels.posterior(votes(stats, count).astype(np.int64)))
-        n += chunk.hi - chunk.lo
+        n = hi
     if not n:
         return Model(labels, Scorer(np.zeros(BINS, np.float32), 1.0))
-    row, bins, weight = (np.concatenate([p[j] for p in parts]) for j in range(3))
-    return Model(labels, fit_scorer(n, row, bins, weight, np.concatenate(targets)))
+    return Model(labels, fit_scorer(parts, np.concatenate(targets)))
 
 
 def _scored(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
