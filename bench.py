@@ -68,7 +68,7 @@ HEADLINE = {
     "training_frame": _training,
     "future_frame": _future,
     "cv_folds": queries.cv_folds,
-    "forecast_all": queries.forecast_all,
+    "forecast_parts": queries.QUERIES["forecast_parts"],
 }
 
 

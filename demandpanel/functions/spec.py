@@ -48,13 +48,21 @@ class TreeModel:
     seed: int = 0
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """Least squares with an intercept; ``penalty`` is the weight of the squared coefficients."""
+
+    kind: str = "linear"
+    penalty: float = 0.0
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     name: str
     lags: tuple[int, ...]
     lag_transforms: Mapping[int, tuple[Transform, ...]] = field(default_factory=dict)
     target_transforms: tuple[str, ...] = ()
-    models: Mapping[str, TreeModel] = field(default_factory=dict)
+    models: Mapping[str, TreeModel | LinearModel] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.target_transforms not in ((), (DIFFERENCE,), (SCALE,), (DIFFERENCE, SCALE)):
@@ -104,5 +112,8 @@ class ModelSpec:
             tuple(data["lags"]),
             transforms,
             tuple(data["target_transforms"]),
-            {name: TreeModel(**m) for name, m in data["models"].items()},
+            {
+                name: (LinearModel if m["kind"] == "linear" else TreeModel)(**m)
+                for name, m in data["models"].items()
+            },
         )

@@ -1,4 +1,4 @@
-"""One global tree model per label: fit, recursive forecast, backtest, importance.
+"""One global model per label: fit, recursive forecast, backtest, importance.
 
 A series is one row for forecasting: its history as an array, the last transformed
 values and running statistics as state. Each step builds the lag features from that
@@ -14,10 +14,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
+from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +26,8 @@ from demandpanel.functions.columns import (
 )
 from demandpanel.functions.frequency import Frequency
 from demandpanel.functions.spec import (
-    DIFFERENCE, SCALE, ExpandingStd, ExponentialMean, ModelSpec, RollingMean, TreeModel,
+    DIFFERENCE, SCALE, ExpandingStd, ExponentialMean, LinearModel, ModelSpec, RollingMean,
+    TreeModel,
 )
 from demandpanel.operators.decompose import (
     FEATURES, components, explode_rows, series_rows, with_ahead,
@@ -35,12 +35,6 @@ from demandpanel.operators.decompose import (
 from demandpanel.operators.features import TRANSFORMED, lag_features, scale_of
 from demandpanel.sources.checkpoints import ensure_checkpoint_dir
 
-# String statics with more distinct values than this are hashed, not indexed: the
-# index of a StringIndexer lives on the driver and in every task.
-MAX_INDEXED_VALUES = 10_000
-# Steps of a recursive forecast between two checkpoints.
-STEPS_PER_CHECKPOINT = 12
-
 BACKTEST_SCHEMA = (
     "unique_id string, ds date, cutoff date, y double, y_pred double, classification string"
 )
@@ -51,11 +45,11 @@ IMPORTANCE_SCHEMA = "classification string, model string, feature_name string, i
 # --- Estimators -------------------------------------------------------------------
 
 
-def _boosted_trees(model: TreeModel, trees: int) -> Estimator:
+def _boosted_trees(model: TreeModel) -> Estimator:
     return GBTRegressor(
         featuresCol="features",
         labelCol=TRANSFORMED,
-        maxIter=trees,
+        maxIter=model.trees,
         maxDepth=model.depth,
         stepSize=model.rate,
         subsamplingRate=model.subsample,
@@ -66,19 +60,26 @@ def _boosted_trees(model: TreeModel, trees: int) -> Estimator:
     )
 
 
+def _least_squares(model: LinearModel) -> Estimator:
+    return LinearRegression(
+        featuresCol="features", labelCol=TRANSFORMED, regParam=model.penalty, solver="normal"
+    )
+
+
 # Builder per model kind; add an entry to plug in another Spark ML regressor.
-ESTIMATORS: dict[str, Callable[[TreeModel, int], Estimator]] = {
+ESTIMATORS: dict[str, Callable[[TreeModel | LinearModel], Estimator]] = {
     "lgbm": _boosted_trees,
     "xgb": _boosted_trees,
     "gbt": _boosted_trees,
+    "linear": _least_squares,
 }
 
 
-def build_estimator(model: TreeModel, scale: float = 1.0) -> Estimator:
-    """The Spark ML estimator of a model; ``scale`` multiplies its number of trees."""
+def build_estimator(model: TreeModel | LinearModel) -> Estimator:
+    """The Spark ML estimator of a model."""
     if model.kind not in ESTIMATORS:
         raise ValueError(f"Unknown model kind {model.kind!r}; known: {sorted(ESTIMATORS)}")
-    return ESTIMATORS[model.kind](model, max(1, round(model.trees * scale)))
+    return ESTIMATORS[model.kind](model)
 
 
 # --- Fitting ----------------------------------------------------------------------
@@ -92,8 +93,7 @@ class FittedLabel:
     spec: ModelSpec
     exogenous: tuple[str, ...]
     static: tuple[str, ...]
-    hashed: tuple[str, ...]
-    indexer: StringIndexerModel | None
+    text: tuple[str, ...]
     models: Mapping[str, Model]
 
     @property
@@ -111,33 +111,11 @@ def _feature_vector(features: Sequence[str]) -> Column:
     return array_to_vector(F.expr(f"array({', '.join(values)})"))
 
 
-def _static_codes(
-    rows: DataFrame, static: Sequence[str]
-) -> tuple[StringIndexerModel | None, tuple[str, ...]]:
-    """Index small string statics; name those to be hashed. One pass counts the values."""
-    kinds = dict(rows.dtypes)
-    text = [c for c in static if kinds[c] == "string"]
-    if not text:
-        return None, ()
-    sizes = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first()
-    small = [c for c in text if sizes[c] <= MAX_INDEXED_VALUES]
-    hashed = tuple(c for c in text if c not in small)
-    if not small:
-        return None, hashed
-    indexer = StringIndexer(
-        inputCols=small, outputCols=[_code(c) for c in small], handleInvalid="keep"
-    )
-    return indexer.fit(rows), hashed
-
-
-def _with_codes(
-    df: DataFrame, indexer: StringIndexerModel | None, hashed: Sequence[str]
-) -> DataFrame:
-    out = df if indexer is None else indexer.transform(df)
-    for c in hashed:
-        # 53 bits are exact in a double.
-        out = out.withColumn(_code(c), F.shiftrightunsigned(F.xxhash64(c), 11).cast("double"))
-    return out
+def _with_codes(df: DataFrame, text: Sequence[str]) -> DataFrame:
+    """Hash string statics: the same code at any size, with no index on the driver."""
+    # 53 bits are exact in a double.
+    codes = {_code(c): F.shiftrightunsigned(F.xxhash64(c), 11).cast("double") for c in text}
+    return df.withColumns(codes)
 
 
 def _static_name(columns: Sequence[str], column: str) -> str:
@@ -150,7 +128,6 @@ def fit_label(
     spec: ModelSpec,
     exogenous: Sequence[str] = (),
     static: Sequence[str] = (),
-    scale: float = 1.0,
 ) -> FittedLabel | None:
     """Fit the label's models on all its series; None where there are no rows.
 
@@ -160,8 +137,9 @@ def fit_label(
     if rows.isEmpty():
         return None
     ensure_checkpoint_dir(rows.sparkSession)
-    indexer, hashed = _static_codes(rows, static)
-    matrix = _with_codes(lag_features(rows, spec, exogenous, static), indexer, hashed)
+    kinds = dict(rows.dtypes)
+    text = tuple(c for c in static if kinds[c] == "string")
+    matrix = _with_codes(lag_features(rows, spec, exogenous, static), text)
     columns = [
         *[_static_name(matrix.columns, c) for c in static],
         *[f"`{c}`" for c in [*exogenous, *spec.lag_features()]],
@@ -173,12 +151,10 @@ def fit_label(
             raise ValueError(
                 f"No series labelled {label} is long enough for the features of {spec.name}"
             )
-        models = {name: build_estimator(m, scale).fit(matrix) for name, m in spec.models.items()}
+        models = {name: build_estimator(m).fit(matrix) for name, m in spec.models.items()}
     finally:
         matrix.unpersist()
-    return FittedLabel(
-        label, spec, tuple(exogenous), tuple(static), hashed, indexer, models
-    )
+    return FittedLabel(label, spec, tuple(exogenous), tuple(static), text, models)
 
 
 # --- Recursive forecast -----------------------------------------------------------
@@ -307,13 +283,15 @@ def _next_state(spec: ModelSpec, state: str, z: str) -> str:
     return _struct(fields)
 
 
-def _predict_series(series: DataFrame, fitted: FittedLabel, horizon: int) -> DataFrame:
+def _predict_series(
+    series: DataFrame, fitted: FittedLabel, horizon: int, checkpoint_every: int | None = None
+) -> DataFrame:
     """Add ``y_pred``, an array of ``horizon`` predictions averaged over the models.
 
     ``series`` has one row per series: ``history`` (sorted structs with ``y``),
     ``ahead`` (the next periods with their exogenous values) and static columns.
     """
-    df = _with_codes(series, fitted.indexer, fitted.hashed)
+    df = _with_codes(series, fitted.text)
     df = _initial_state(_transformed(df, fitted.spec), fitted)
     columns = df.columns
     spec, lagged = fitted.spec, fitted.spec.lag_features().items()
@@ -329,7 +307,7 @@ def _predict_series(series: DataFrame, fitted: FittedLabel, horizon: int) -> Dat
             # Each model recurses on its own predictions.
             after = F.expr(_next_state(spec, state, "prediction")).alias(state)
             df = df.select(*[after if c == state else c for c in columns])
-        if (step + 1) % STEPS_PER_CHECKPOINT == 0 and step + 1 < horizon:
+        if checkpoint_every and (step + 1) % checkpoint_every == 0 and step + 1 < horizon:
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint()
     done = [F.col(f"{_state(name)}.done") for name in fitted.models]
@@ -347,8 +325,11 @@ def _with_history(series: DataFrame, static: Sequence[str]) -> DataFrame:
     ).drop("rows")
 
 
-def _forecast_rows(fitted: FittedLabel, series: DataFrame, horizon: int) -> DataFrame:
-    predicted = _predict_series(_with_history(series, fitted.static), fitted, horizon)
+def _forecast_rows(
+    fitted: FittedLabel, series: DataFrame, horizon: int, checkpoint_every: int | None
+) -> DataFrame:
+    rows = _with_history(series, fitted.static)
+    predicted = _predict_series(rows, fitted, horizon, checkpoint_every)
     steps = predicted.withColumn("ahead", F.slice("ahead", 1, horizon))
     pairs = explode_rows(F.arrays_zip("ahead", "y_pred"))
     return steps.select(ID, pairs.alias("r")).select(
@@ -364,13 +345,18 @@ def _check_forecast(fitted: FittedLabel | None, horizon: int) -> None:
 
 
 def forecast_label(
-    fitted: FittedLabel, rows: DataFrame, future: DataFrame, horizon: int
+    fitted: FittedLabel,
+    rows: DataFrame,
+    future: DataFrame,
+    horizon: int,
+    checkpoint_every: int | None = None,
 ) -> DataFrame:
     """``unique_id, ds, y_pred`` for the next ``horizon`` periods of the label's series.
 
     ``rows`` is the history of this label, ``future`` holds the coming periods of at
     least its series with the exogenous columns. Both become one row per series before
-    they are joined.
+    they are joined. The plan grows with the horizon: ``checkpoint_every`` cuts it after
+    every so many steps, which runs jobs; without it the result is lazy.
     """
     _check_forecast(fitted, horizon)
     require_columns(future, [ID, TIME, *fitted.exogenous])
@@ -381,7 +367,7 @@ def forecast_label(
     series = series.where(
         F.when(F.size("ahead") >= horizon, F.lit(True)).otherwise(short.cast("boolean"))
     )
-    return _forecast_rows(fitted, series, horizon)
+    return _forecast_rows(fitted, series, horizon, checkpoint_every)
 
 
 def forecast_label_ahead(
@@ -391,6 +377,7 @@ def forecast_label_ahead(
     freq: str | Frequency,
     season_length: int,
     last: DataFrame,
+    checkpoint_every: int | None = None,
 ) -> DataFrame:
     """``forecast_label`` on the future trend and seasonal values of the same history.
 
@@ -401,7 +388,8 @@ def forecast_label_ahead(
     if unknown:
         raise ValueError(f"No future values for {unknown}; give forecast_label a future frame")
     series = series_rows(rows, [TARGET, *fitted.static])
-    return _forecast_rows(fitted, with_ahead(series, season_length, horizon, freq, last), horizon)
+    series = with_ahead(series, season_length, horizon, freq, last)
+    return _forecast_rows(fitted, series, horizon, checkpoint_every)
 
 
 # --- Backtest ---------------------------------------------------------------------
@@ -484,7 +472,6 @@ def backtest_label(
     periods: int,
     exogenous: Sequence[str] = (),
     static: Sequence[str] = (),
-    scale: float = 1.0,
     features: str = "as_given",
     season_length: int | None = None,
 ) -> DataFrame | None:
@@ -510,7 +497,7 @@ def backtest_label(
             if features == "per_fold":
                 folded = _refit_features(folded, season_length, periods, columns)
             train = folded.select(ID, explode_rows(F.col("history")).alias("r")).select(ID, "r.*")
-            fitted = fit_label(train, label, spec, exogenous, static, scale)
+            fitted = fit_label(train, label, spec, exogenous, static)
             if fitted is None:
                 warnings.warn(f"{label}: no training rows in fold {fold}", stacklevel=2)
                 continue
@@ -542,10 +529,13 @@ def backtest_label(
 
 
 def importance_label(spark: SparkSession, fitted: FittedLabel) -> DataFrame:
-    """``classification, model, feature_name, importance``; importances of a model sum to one."""
+    """``classification, model, feature_name, importance``; importances of a model sum to one.
+
+    Those of a linear model are the sizes of its coefficients.
+    """
     rows = []
     for name, model in fitted.models.items():
-        values = _importances(model, fitted.feature_names)
+        values = _importances(model)
         if len(values) != len(fitted.feature_names):
             raise ValueError(f"{name}: {len(values)} values for {fitted.feature_names}")
         rows += [
@@ -555,29 +545,26 @@ def importance_label(spark: SparkSession, fitted: FittedLabel) -> DataFrame:
     return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)
 
 
-def _importances(model: Model, names: Sequence[str]) -> list[float]:
+def _importances(model: Model) -> list[float]:
     if hasattr(model, "featureImportances"):
         return list(model.featureImportances.toArray())
-    gains = model.get_feature_importances(importance_type="gain")
-    total = sum(gains.values()) or 1.0
-    return [gains.get(f"f{i}", 0.0) / total for i in range(len(names))]
+    sizes = [abs(c) for c in model.coefficients]
+    total = sum(sizes) or 1.0
+    return [s / total for s in sizes]
 
 
 def save_fitted(spark: SparkSession, fitted: FittedLabel | None, path: str) -> None:
-    """Write models, indexer and a one-row description below ``path``."""
+    """Write models and a one-row description below ``path``."""
     if fitted is None:
         raise ValueError("An unfitted model cannot be saved")
     for name, model in fitted.models.items():
         model.write().overwrite().save(f"{path}/models/{name}")
-    if fitted.indexer is not None:
-        PipelineModel([fitted.indexer]).write().overwrite().save(f"{path}/indexer")
     description = {
         "label": fitted.label,
         "spec": fitted.spec.to_dict(),
         "exogenous": fitted.exogenous,
         "static": fitted.static,
-        "hashed": fitted.hashed,
-        "indexed": fitted.indexer is not None,
+        "text": fitted.text,
         "classes": {
             name: f"{type(m).__module__}.{type(m).__name__}" for name, m in fitted.models.items()
         },
@@ -594,14 +581,12 @@ def load_fitted(spark: SparkSession, path: str) -> FittedLabel:
         name: _model_class(kind).load(f"{path}/models/{name}")
         for name, kind in data["classes"].items()
     }
-    indexer = PipelineModel.load(f"{path}/indexer").stages[0] if data["indexed"] else None
     return FittedLabel(
         data["label"],
         ModelSpec.from_dict(data["spec"]),
         tuple(data["exogenous"]),
         tuple(data["static"]),
-        tuple(data["hashed"]),
-        indexer,
+        tuple(data["text"]),
         models,
     )
 

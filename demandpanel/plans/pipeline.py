@@ -183,14 +183,13 @@ def fit_all(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
-    scale: float = 1.0,
 ) -> dict[str, FittedLabel]:
     """Fit every label that has rows, one label at a time to bound what is cached."""
     fitted = {}
     for label in LABELS:
         spec = policies[label] if label in policies else spec_for(label)
         rows = _label_rows(training, label)
-        model = fit_label(rows, label, spec, exogenous, list(static or []), scale)
+        model = fit_label(rows, label, spec, exogenous, list(static or []))
         if model is not None:
             fitted[label] = model
     return fitted
@@ -204,7 +203,6 @@ def forecast_all(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
-    scale: float = 1.0,
     fitted: Mapping[str, FittedLabel] | None = None,
     future: DataFrame | None = None,
 ) -> DataFrame:
@@ -216,7 +214,7 @@ def forecast_all(
     if horizon <= 0:
         raise ValueError("horizon must be > 0")
     if fitted is None:
-        fitted = fit_all(training, exogenous, static, policies, scale)
+        fitted = fit_all(training, exogenous, static, policies)
     last = date_bounds(training)
     parts = []
     for label, model in fitted.items():
@@ -239,13 +237,12 @@ def forecast_table(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
-    scale: float = 1.0,
 ) -> DataFrame:
     """Forecast a stored training table and append to the forecast table; returns that version."""
     require_text("version", version)
     training = read_training(spark, source, exogenous, static)
     forecasts = forecast_all(
-        training, freq, season_length, horizon, exogenous, static, policies, scale
+        training, freq, season_length, horizon, exogenous, static, policies
     )
     append_forecasts(forecasts, version, output)
     return spark.table(output).where(F.col("version") == version)
@@ -258,7 +255,6 @@ def backtest_all(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
-    scale: float = 1.0,
     features: str = "as_given",
     season_length: int | None = None,
 ) -> DataFrame:
@@ -268,7 +264,7 @@ def backtest_all(
         spec = policies[label] if label in policies else spec_for(label)
         part = backtest_label(
             _label_rows(training, label), label, spec, windows, periods, exogenous,
-            list(static or []), scale, features, season_length,
+            list(static or []), features, season_length,
         )
         if part is not None:
             parts.append(part)
@@ -280,12 +276,11 @@ def importance_all(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
-    scale: float = 1.0,
     fitted: Mapping[str, FittedLabel] | None = None,
 ) -> DataFrame:
     """``classification, model, feature_name, importance`` of every fitted model."""
     if fitted is None:
-        fitted = fit_all(training, exogenous, static, policies, scale)
+        fitted = fit_all(training, exogenous, static, policies)
     spark = training.sparkSession
     parts = [importance_label(spark, model) for model in fitted.values()]
     return _union(spark, parts, IMPORTANCE_SCHEMA)

@@ -219,6 +219,80 @@ def _fold_sql(panel: str, windows: int, periods: int) -> str:
     )
 
 
+def _linear(history: dict[str, str], steps: int) -> dict[str, str]:
+    """Least squares on the last transformed value by fold and label, and its recursion.
+
+    ``history`` ends in a table ``hist`` of ``fold, unique_id, ds, y, classification``.
+    The last table, ``predicted``, has ``fold, unique_id, classification, step, y_pred``.
+    """
+    series = "PARTITION BY fold, unique_id"
+    scaled = "classification IN ('Erratic', 'Lumpy')"
+    return {
+        **history,
+        "diffs": f"SELECT *, y - lag(y) OVER ({series} ORDER BY ds) AS d FROM hist",
+        "based": "SELECT *, CASE WHEN classification = 'Erratic' THEN y ELSE d END AS base FROM diffs",
+        "moments": (
+            f"SELECT *, CASE WHEN {scaled} THEN avg(base) OVER ({series}) ELSE 0.0 END AS centre, "
+            f"CASE WHEN {scaled} THEN coalesce(nullif(stddev_pop(base) OVER ({series}), 0), 1.0) "
+            "ELSE 1.0 END AS scale FROM based"
+        ),
+        "zs": "SELECT *, (base - centre) / scale AS z FROM moments",
+        "matrix": f"SELECT *, lag(z) OVER ({series} ORDER BY ds) AS before FROM zs",
+        "fits": (
+            "SELECT fold, classification, regr_slope(z, before) AS b, regr_intercept(z, before) AS a "
+            "FROM matrix WHERE z IS NOT NULL AND before IS NOT NULL GROUP BY 1, 2"
+        ),
+        "ends": f"SELECT *, row_number() OVER ({series} ORDER BY ds DESC) AS back FROM zs",
+        "predicted": (
+            "SELECT fold, unique_id, classification, 0 AS step, z, y AS y_pred, centre, scale, a, b "
+            "FROM ends JOIN fits USING (fold, classification) WHERE back = 1 UNION ALL "
+            "SELECT fold, unique_id, classification, step + 1, a + b * z, "
+            "(a + b * z) * scale + centre + "
+            "CASE WHEN classification = 'Erratic' THEN 0.0 ELSE y_pred END, centre, scale, a, b "
+            f"FROM predicted WHERE step < {steps}"
+        ),
+    }
+
+
+def _recursive(ctes: dict[str, str], query: str) -> str:
+    return _with(ctes, query).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _cents(expression: str, name: str) -> str:
+    return f"round({expression}, 2) + 0.0 AS {name}"
+
+
+def _forecast_sql(panel: str, horizon: int, *extra: str) -> str:
+    ctes = _linear(
+        {**prepared(panel), "hist": "SELECT 0 AS fold, * FROM prepared"}, horizon
+    )
+    ctes["final"] = "SELECT max(ds) AS hi FROM prepared"
+    columns = ", ".join(["unique_id, CAST(hi + to_months(step) AS DATE) AS ds",
+                         _cents("y_pred", "y_pred"), *extra])
+    return _recursive(ctes, f"SELECT {columns} FROM predicted CROSS JOIN final WHERE step > 0")
+
+
+def _backtest_sql(panel: str, windows: int, periods: int) -> str:
+    ctes = {
+        **prepared(panel),
+        "placed": (
+            "SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS r FROM prepared"
+        ),
+        "folds": f"SELECT unnest(generate_series(0, {windows - 1})) AS fold",
+        "cut": f"SELECT *, r - ({windows} - fold) * {periods} AS left_rows FROM placed CROSS JOIN folds",
+        "hist": "SELECT fold, unique_id, ds, y, classification FROM cut WHERE left_rows > 0",
+    }
+    ctes = _linear(ctes, periods)
+    ctes["cutoffs"] = "SELECT fold, unique_id, max(ds) AS cutoff FROM hist GROUP BY 1, 2"
+    return _recursive(
+        ctes,
+        f"SELECT c.unique_id, c.ds, cutoff, {_r('c.y', 'y')}, {_cents('y_pred', 'y_pred')}, "
+        "c.classification FROM cut c JOIN cutoffs o ON o.fold = c.fold AND o.unique_id = c.unique_id "
+        "JOIN predicted q ON q.fold = c.fold AND q.unique_id = c.unique_id "
+        "AND q.step = 1 - c.left_rows WHERE q.step > 0",
+    )
+
+
 def _dispersion() -> str:
     columns = ["classification", "count(*) AS n_series"]
     for m in ("adi", "cv2"):
@@ -473,6 +547,18 @@ ORACLE: dict[str, str] = {
         "FROM (SELECT max(ds) AS hi FROM cleaned))",
     ),
     "layout_by_series": _with({"p": PANEL["part_month"]}, _show("p")),
+    "forecast_all": _forecast_sql("nation_segment", 6),
+    "forecast_parts": _forecast_sql("part_month", 6),
+    "forecast_own_future": _forecast_sql("supplier_month", 6),
+    "forecast_table": _forecast_sql("nation_segment", 3, "'v1' AS version"),
+    "model_save_load": _forecast_sql("nation_segment", 2, _cents("y_pred", "y_pred_loaded")),
+    "backtest_all": _backtest_sql("nation_segment", 2, 3),
+    "backtest_parts": _backtest_sql("part_month", 2, 3),
+    "importance_all": _with(
+        prepared("nation_segment"),
+        "SELECT DISTINCT classification, 'linear' AS model, 'lag1' AS feature_name, "
+        "CAST(1 AS DOUBLE) AS importance FROM prepared",
+    ),
     "load_for_forecast": _with(
         prepared("nation_segment"),
         "SELECT 'training' AS dataset, min(ds) AS min_ds, max(ds) AS max_ds, count(*) AS n_rows "

@@ -12,19 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandpanel.functions.columns import by_series, in_time, row_mean
+from demandpanel.functions.spec import LinearModel, ModelSpec
 from demandpanel.operators import calendar as cal
 from demandpanel.operators import classify, clean, decompose, features, forecast, impute
 from demandpanel.plans import pipeline
-from demandpanel.plans.policies import spec_for
+from demandpanel.plans.policies import POLICIES, spec_for
 from demandpanel.sources import tables
 from registry import panels
 from registry.oracle import INACTIVITY, MIN_RECORDS, SPLIT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Trees relative to the policies in registered model queries: the policies ask for up to
-# 1,000 trees per label.
-TREE_SCALE = 0.004
+# Registered model queries fit least squares on the last transformed value, with each
+# label's own target transforms: SQL can express all of it. The policies' trees run for
+# many minutes even on a small panel and are not registered.
+LINEAR = {
+    label: ModelSpec("linear", (1,), {}, spec.target_transforms, {"linear": LinearModel()})
+    for label, spec in POLICIES.items()
+}
 
 
 def _r(name: str | Column, alias: str | None = None) -> Column:
@@ -64,13 +69,17 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.training_frame(prepared(spark, sf), 12)
 
 
-def _stored_training(spark: SparkSession, sf: str) -> DataFrame:
-    """The training frame as a table: model jobs read it many times."""
+def _store(rows: DataFrame, exogenous: list[str]) -> str:
+    """Write a training frame as a table, with as many buckets as the session shuffles to."""
     table = f"training_{uuid.uuid4().hex}"
-    tables.write_training(
-        training(spark, sf), table, decompose.FEATURES, partition_by_label=True, buckets=8
-    )
-    return tables.read_training(spark, table, decompose.FEATURES)
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tables.write_training(rows, table, exogenous, partition_by_label=True, buckets=buckets)
+    return table
+
+
+def _stored(spark: SparkSession, sf: str, panel: Callable) -> DataFrame:
+    """A prepared panel as a table: model jobs read it many times."""
+    return tables.read_training(spark, _store(prepared(spark, sf, panel), []), [])
 
 
 # --- Sources ----------------------------------------------------------------------
@@ -215,22 +224,48 @@ def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
     return _show(folds, "fold", "part", "cutoff")
 
 
-def forecast_all(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.forecast_all(_stored_training(spark, sf), "MS", 12, 6, scale=TREE_SCALE)
+def _money(df: DataFrame, *predictions: str) -> DataFrame:
+    """Predictions to the cent: amounts of a million carry no more digits through the sums."""
+    cents = {c: F.round(c, 2) + F.lit(0.0) for c in predictions or ("y_pred",)}
+    return df.withColumns(cents)
+
+
+def _forecast(panel: Callable, horizon: int) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        rows = _stored(spark, sf, panel)
+        return _money(pipeline.forecast_all(rows, "MS", 12, horizon, (), policies=LINEAR))
+
+    return query
+
+
+def _backtest(panel: Callable, windows: int, periods: int) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        rows = _stored(spark, sf, panel)
+        out = pipeline.backtest_all(rows, windows, periods, (), policies=LINEAR)
+        return _money(out).withColumn("y", _r("y"))
+
+    return query
 
 
-def backtest_all(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.backtest_all(_stored_training(spark, sf), 2, 3, scale=TREE_SCALE / 2)
+def forecast_own_future(spark: SparkSession, sf: str) -> DataFrame:
+    """Forecasts on a future frame that is joined, instead of one made from the history."""
+    rows = _stored(spark, sf, panels.supplier_month)
+    future = cal.future_calendar(rows, 6, "MS")
+    return _money(
+        pipeline.forecast_all(rows, "MS", 12, 6, (), policies=LINEAR, future=future)
+    )
 
 
 def importance_all(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.importance_all(_stored_training(spark, sf), scale=TREE_SCALE / 2)
+    rows = _stored(spark, sf, panels.nation_segment)
+    out = pipeline.importance_all(rows, (), policies=LINEAR)
+    return out.withColumn("importance", F.round("importance", 6))
 
 
 def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of the fitted and of the reloaded models side by side."""
-    rows = _stored_training(spark, sf)
-    fitted = pipeline.fit_all(rows, scale=TREE_SCALE / 2)
+    rows = _stored(spark, sf, panels.nation_segment)
+    fitted = pipeline.fit_all(rows, (), policies=LINEAR)
     folder = f"{_shared_folder(spark)}/models-{uuid.uuid4().hex}"
     loaded = {}
     for label, model in fitted.items():
@@ -238,26 +273,25 @@ def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
         loaded[label] = forecast.load_fitted(spark, f"{folder}/{label}")
     before = pipeline.forecast_all(rows, "MS", 12, 2, fitted=fitted)
     after = pipeline.forecast_all(rows, "MS", 12, 2, fitted=loaded)
-    return before.join(after.withColumnRenamed("y_pred", "y_pred_loaded"), ["unique_id", "ds"])
+    both = before.join(after.withColumnRenamed("y_pred", "y_pred_loaded"), ["unique_id", "ds"])
+    return _money(both, "y_pred", "y_pred_loaded")
 
 
 def forecast_table(spark: SparkSession, sf: str) -> DataFrame:
     """From the stored training table to the stored forecasts of one version."""
-    source, output = f"training_{uuid.uuid4().hex}", f"forecast_{uuid.uuid4().hex}"
-    tables.write_training(
-        training(spark, sf), source, decompose.FEATURES, partition_by_label=True, buckets=8
-    )
+    source = _store(prepared(spark, sf, panels.nation_segment), [])
     stored = pipeline.forecast_table(
-        spark, source, output, "v1", "MS", 12, 3, scale=TREE_SCALE / 2
+        spark, source, f"forecast_{uuid.uuid4().hex}", "v1", "MS", 12, 3, (), policies=LINEAR
     )
-    return stored.drop("process_date")
+    return _money(stored.drop("process_date"))
 
 
 def backtest_per_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """Trend and seasonal recomputed from each fold's own history."""
-    rows = _stored_training(spark, sf).where(F.col("classification") == "Intermittent")
+    """Trend and seasonal recomputed from each fold's own history, and used by the model."""
+    source = _store(training(spark, sf), decompose.FEATURES)
+    rows = tables.read_training(spark, source, decompose.FEATURES)
     return pipeline.backtest_all(
-        rows, 2, 3, scale=TREE_SCALE / 2, features="per_fold", season_length=12
+        rows, 2, 3, policies=LINEAR, features="per_fold", season_length=12
     )
 
 
@@ -416,8 +450,11 @@ QUERIES: dict[str, Query] = {
     "forecast_append_roundtrip": forecast_append_roundtrip,
     "train_test_future_bounds": train_test_future_bounds,
     "layout_by_series": _on_panel(panels.part_month, pipeline.layout_by_series),
-    "forecast_all": forecast_all,
-    "backtest_all": backtest_all,
+    "forecast_all": _forecast(panels.nation_segment, 6),
+    "forecast_parts": _forecast(panels.part_month, 6),
+    "forecast_own_future": forecast_own_future,
+    "backtest_all": _backtest(panels.nation_segment, 2, 3),
+    "backtest_parts": _backtest(panels.part_month, 2, 3),
     "importance_all": importance_all,
     "model_save_load": model_save_load,
     "load_for_forecast": load_for_forecast,

@@ -1,20 +1,26 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from demandpanel.functions.spec import ModelSpec, RollingMean, TreeModel
+from demandpanel.functions.spec import LinearModel, ModelSpec, RollingMean, TreeModel
 from demandpanel.operators import features, forecast
 from demandpanel.operators.decompose import FEATURES
 from demandpanel.plans import pipeline
 from demandpanel.plans.policies import POLICIES, spec_for
 from registry import queries
 
-SCALE = 0.004
+def few_trees(trees):
+    """The policies with ``trees`` trees a model: the recursion does not depend on their number."""
+    return {
+        label: replace(spec, models={n: replace(m, trees=trees) for n, m in spec.models.items()})
+        for label, spec in POLICIES.items()
+    }
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +33,7 @@ def training(spark, sf):
 
 @pytest.fixture(scope="module")
 def fitted(training):
-    return pipeline.fit_all(training, scale=SCALE)
+    return pipeline.fit_all(training, policies=few_trees(3))
 
 
 @pytest.fixture(scope="module")
@@ -59,10 +65,9 @@ def test_unsupported_target_transforms_raise(transforms):
 
 def test_unknown_model_kind_raises(spark):
     with pytest.raises(ValueError):
-        forecast.build_estimator(TreeModel("linear"))
-    assert forecast.build_estimator(TreeModel("gbt", trees=100), 0.001).getMaxIter() == 1
-    built = forecast.build_estimator(POLICIES["Intermittent"].models["xgb"], 0.1)
-    assert (built.getMaxIter(), built.getMaxDepth(), built.getSubsamplingRate()) == (30, 6, 0.8)
+        forecast.build_estimator(TreeModel("forest"))
+    built = forecast.build_estimator(POLICIES["Intermittent"].models["xgb"])
+    assert (built.getMaxIter(), built.getMaxDepth(), built.getSubsamplingRate()) == (300, 6, 0.8)
 
 
 def test_one_forecast_per_series_and_period(training, forecasts):
@@ -226,7 +231,9 @@ def test_save_and_load(spark, training, fitted, tmp_path):
 def test_backtest_folds(training, mode):
     label = "Intermittent"
     rows = training.where(F.col("classification") == label)
-    out = pipeline.backtest_all(rows, 2, 3, scale=0.004, features=mode, season_length=12).persist()
+    out = pipeline.backtest_all(
+        rows, 2, 3, policies=few_trees(1), features=mode, season_length=12
+    ).persist()
     assert out.columns == ["unique_id", "ds", "cutoff", "y", "y_pred", "classification"]
     assert out.where("ds <= cutoff").isEmpty()
     series = rows.select("unique_id").distinct().count()
@@ -259,22 +266,37 @@ def test_per_fold_features_do_not_see_the_future(spark, training):
     assert refitted(rows).exceptAll(refitted(changed)).isEmpty()
 
 
-def test_static_columns(spark, training, monkeypatch):
-    """String statics are indexed; above the size limit they are hashed instead."""
+def test_static_columns(training):
+    """String statics are hashed, others taken as numbers."""
     label = "Erratic"
     rows = label_rows(training, label).withColumns(
         {"segment": F.split("unique_id", "_")[1], "level": F.length("unique_id")}
     )
     spec = ModelSpec("s", (1, 2), {}, ("difference",), {"gbt": TreeModel("gbt", trees=2, depth=3)})
     last = rows.agg(F.max("ds").alias("hi"))
-    for limit in (10_000, 2):
-        monkeypatch.setattr(forecast, "MAX_INDEXED_VALUES", limit)
-        fitted = forecast.fit_label(rows, label, spec, FEATURES, ["segment", "level"])
-        assert fitted.hashed == (() if limit > 2 else ("segment",))
-        assert fitted.feature_names == ["segment", "level", *FEATURES, "lag1", "lag2"]
-        out = forecast.forecast_label_ahead(fitted, rows, 2, "MS", 12, last)
-        assert out.count() == 2 * rows.select("unique_id").distinct().count()
-        assert out.where("y_pred is null").isEmpty()
+    fitted = forecast.fit_label(rows, label, spec, FEATURES, ["segment", "level"])
+    assert fitted.text == ("segment",)
+    assert fitted.feature_names == ["segment", "level", *FEATURES, "lag1", "lag2"]
+    out = forecast.forecast_label_ahead(fitted, rows, 2, "MS", 12, last)
+    assert out.count() == 2 * rows.select("unique_id").distinct().count()
+    assert out.where("y_pred is null").isEmpty()
+
+
+def test_linear_spec_survives_json():
+    spec = ModelSpec("l", (1,), models={"linear": LinearModel(penalty=0.5)})
+    assert ModelSpec.from_dict(spec.to_dict()) == spec
+
+
+def test_checkpoints_are_asked_for(training):
+    """A forecast cut into pieces equals the one in one piece."""
+    spec = ModelSpec("l", (1,), {}, ("difference",), {"linear": LinearModel()})
+    rows = label_rows(training, "Erratic")
+    fitted = forecast.fit_label(rows, "Erratic", spec)
+    last = rows.agg(F.max("ds").alias("hi"))
+    whole, pieces = (
+        forecast.forecast_label_ahead(fitted, rows, 5, "MS", 12, last, every) for every in (None, 2)
+    )
+    assert whole.exceptAll(pieces).isEmpty() and pieces.exceptAll(whole).isEmpty()
 
 
 def test_ensemble_skips_missing_models(spark):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from demandpanel.functions.spec import ExponentialMean, ModelSpec
+from demandpanel.functions.spec import ExponentialMean, ModelSpec, TreeModel
 from demandpanel.operators import classify, clean, decompose, features, forecast
 from demandpanel.operators.calendar import fill_calendar
 from demandpanel.operators.impute import impute_by_class
@@ -89,7 +91,9 @@ def test_bucketed_training_table_needs_no_shuffle(spark, sf):
     matrix = features.lag_features(smooth, spec_for("Smooth"), decompose.FEATURES)
     assert "Exchange" not in plan(matrix)
     assert "PartitionFilters: [isnotnull(classification" in plan(matrix)
-    fitted = forecast.fit_label(smooth, "Smooth", spec_for("Smooth"), decompose.FEATURES, scale=0.002)
+    few = {"gbt": TreeModel("gbt", trees=2)}
+    spec = replace(spec_for("Smooth"), models=few)
+    fitted = forecast.fit_label(smooth, "Smooth", spec, decompose.FEATURES)
     last = rows.agg(F.max("ds").alias("hi"))
     for horizon in (1, 4):
         out = forecast.forecast_label_ahead(fitted, smooth, horizon, "MS", 12, last)
