@@ -45,11 +45,10 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with ``n_tokens`` and ``ids``, and the text as decoded from the ids."""
     ranks = bpe.broadcast_ranks(spark, public_tokenizers.path(RANKS))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    both = bpe.decode(encoded.drop("text"), ranks, public_tokenizers.PATTERN)
+    both = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return both.select(
         "doc_id",
-        F.decode("decoded", "UTF-8").alias("text"),
+        F.decode("text", "UTF-8").alias("text"),
         *[c for c in docs.columns if c not in ("doc_id", "text")],
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

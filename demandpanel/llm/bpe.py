@@ -248,6 +248,36 @@ def encode(
     return docs.mapInArrow(run, T.StructType([*keep, kind]))
 
 
+def round_trip(
+    docs: DataFrame, ranks: Broadcast, pattern: str, text: str = "text", ids: str = "ids"
+) -> DataFrame:
+    """Add the token ids of every whole text, and replace the text by the bytes the ids stand for.
+
+    One pass, so a task needs one Python worker and the ids travel once. Null and empty texts
+    have no ids and no bytes; a column named like ``ids`` is replaced. Bytes are not yet a string.
+    """
+    keep = [f for f in docs.schema.fields if f.name not in (ids, text)]
+    names = [f.name for f in keep]
+    both = [
+        T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
+        T.StructField(text, T.BinaryType(), False),
+    ]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(ranks, pattern)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(lo, SLICE_ROWS)
+                found = [codec.encode(x) for x in batch.column(text).to_pylist()]
+                starts = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                tokens = pa.ListArray.from_arrays(starts, np.concatenate(found))
+                decoded = pa.array(map(codec.decode, found), pa.binary())
+                columns = [*[batch.column(n) for n in names], tokens, decoded]
+                yield pa.RecordBatch.from_arrays(columns, [*names, ids, text])
+
+    return docs.mapInArrow(run, T.StructType([*keep, *both]))
+
+
 def decode(
     docs: DataFrame, ranks: Broadcast, pattern: str, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:

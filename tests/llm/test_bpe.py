@@ -79,3 +79,14 @@ def test_null_empty_repeated_and_clashing(spark):
     assert rows[0]["text"] is None and rows[2]["source"] == "src0"
     empty = bpe.encode(documents(spark, []), ranks, public_tokenizers.PATTERN)
     assert empty.count() == 0
+
+
+def test_round_trip_of_null_empty_repeated_and_clashing(spark):
+    docs = documents(spark, [None, "", "hi there", "hi there"]).selectExpr("*", "'mine' AS ids")
+    ranks = bpe.broadcast_ranks(spark, public_tokenizers.path(queries.RANKS))
+    out = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+    assert sorted(out.columns) == sorted(docs.columns)
+    rows = by_id(out)
+    assert [rows[i]["ids"] for i in range(4)] == [[], [], [5303, 612], [5303, 612]]
+    assert [bytes(rows[i]["text"]) for i in range(4)] == [b"", b"", b"hi there", b"hi there"]
+    assert bpe.round_trip(documents(spark, []), ranks, public_tokenizers.PATTERN).count() == 0
