@@ -99,6 +99,48 @@ def test_held_out_spellings_and_clean_texts(network, sf):
     assert hit >= 150
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "jane.doe at example dot com",
+        "jane (AT) example.org",
+        "jane ( at ) example.org",
+        "jane {at} example.org",
+        "theodora.vandermeer (at) department-of-physics.example.org",
+    ],
+)
+def test_addresses_without_digit_or_sign_are_found_whole(network, sf, value):
+    plain = [d["text"] for d in table(sf, "documents") if not pii._TRIGGER.search(d["text"])][:40]
+    whole = 0
+    for t in plain:
+        at = t.find(" ", len(t) // 2) + 1
+        spans = pii.detect(f"{t[:at]}{value} {t[at:]}", network)[1]
+        whole += (at, 0, at + len(value)) in spans
+    assert whole >= len(plain) / 2
+
+
+def test_decoding_is_the_best_path(network):
+    t = network.p["t"].astype(np.float32)
+    texts = ["", "a", "jane (at) example.org or +49 (843) 555-7672", "word " * 300, "5551 " * 200]
+    first = np.r_[0, np.cumsum([len(x) + 1 for x in texts])]
+    noise = np.random.default_rng(0)
+    code = pii.codes("\n".join(texts) + "\n")
+    s = network._scores(code, [(int(a), int(b) - 1) for a, b in zip(first, first[1:])])
+    s += noise.normal(0, 2, s.shape).astype(np.float32)
+    s[first[1:] - 1] = np.eye(1, pii.TAGS) * 1e7
+    path = network._decode(s, first)
+    for a, b in zip(first, first[1:] - 1):
+        best, back = s[a], []
+        for k in range(a + 1, b):
+            through = best[:, None] + t
+            back.append(through.argmax(0))
+            best = through.max(0) + s[k]
+        tags = [int(best.argmax())]
+        for step in reversed(back):
+            tags.append(int(step[tags[-1]]))
+        assert path[a:b].tolist() == tags[::-1][: b - a]
+
+
 def test_spans_do_not_depend_on_windows(network):
     text = "write to bo.la@example.org or (at) +49 (843) 555-7672 or 170.106.4.9 today " * 3
     for pad in range(0, 70, 7):
