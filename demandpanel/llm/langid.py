@@ -3,8 +3,8 @@
 Each language has a model of four characters, counted on a bounded sample of labelled texts.
 The n-grams of all languages stand in one sorted array of hashes per order, with a column of
 log-probabilities per language; a text goes to the language of the lowest cross-entropy per
-character. A threshold per language, calibrated on texts that were not counted, marks texts that
-fit none.
+character. A threshold per language, calibrated on texts that trial models did not count, marks
+texts that fit none; the models themselves count all sampled texts.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandpanel.llm.textio import chunks, mix
@@ -23,8 +23,10 @@ from demandpanel.llm.textio import chunks, mix
 ORDER = 4
 #: Bytes of labelled text per language that a model is fitted on (expected; whole texts).
 SAMPLE_BYTES = 3 << 20
-#: One sampled text in so many sets the threshold instead of being counted.
+#: One sampled text in so many sets the threshold, where trial models keep half of the sample.
 CALIBRATION = 6
+#: So many texts of every language are sampled at least, however long they are.
+LEAST_TEXTS = 12
 #: The threshold lies so many standard deviations above the mean cross-entropy.
 DEVIATIONS = 4.0
 #: Characters' worth of evidence that the confidence assumes at most.
@@ -189,55 +191,68 @@ def _text_slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", seed: str = "doc_id") -> Models:
-    """Models of all languages of ``docs``, from at most some ``SAMPLE_BYTES`` each.
+    """Models of all languages of ``docs``, from some ``SAMPLE_BYTES`` each, or ``LEAST_TEXTS``.
 
-    Whole texts are drawn by a hash of ``seed``. Rows without text or language teach nothing;
+    Whole texts are drawn by a hash of ``seed`` (of the text, where that is null), those of the
+    least hashes in any case, so no language is left out. A language of which too little would
+    remain for trial models has no threshold: nothing that goes to it is rejected. Rows without text or language teach nothing;
     without any, the models know no language and every text is unknown.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"),
         F.col(text).alias("text"),
-        F.pmod(F.xxhash64(F.col(seed).cast("string"), F.lit("lang")), F.lit(1 << 30)).alias("draw"),
+        F.pmod(
+            F.xxhash64(F.coalesce(F.col(seed).cast("string"), F.col(text)), F.lit("lang")), F.lit(1 << 30)
+        ).alias("draw"),
     )
     sizes = {r[0]: r[1] for r in known.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()}
-    rate = F.lit(0.0)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    first = known.select("lang", "draw").withColumn("rank", rank).where(F.col("rank") <= LEAST_TEXTS)
+    least = {r[0]: r[1] for r in first.groupBy("lang").agg(F.max("draw")).collect()}
+    bound = F.lit(0)
     for name, size in sizes.items():
-        share = min(1.0, SAMPLE_BYTES / max(size, 1))
-        rate = F.when(F.col("lang") == name, F.lit(share)).otherwise(rate)
-    drawn = known.where(F.col("draw") < rate * float(1 << 30))
-    counted = drawn.where(F.col("draw") % CALIBRATION != 0)
+        share = int(min(1.0, SAMPLE_BYTES / max(size, 1)) * (1 << 30))
+        bound = F.when(F.col("lang") == name, F.lit(max(share, least[name] + 1))).otherwise(bound)
+    drawn = known.where(F.col("draw") < bound).withColumn("held", F.col("draw") % CALIBRATION == 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held = batch.column("held").to_pylist()
             names = batch.column("lang").to_pylist()
-            for name in sorted(set(names)):
-                texts = [
-                    t for t, x in zip(batch.column("text").to_pylist(), names, strict=True) if x == name
-                ]
-                found, n = np.unique(grams(characters(texts), ORDER)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(found)), pa.array(found.view(np.int64)), pa.array(n)],
-                    ["lang", "gram", "n"],
-                )
+            for lo, texts in _text_slices(batch.column("text")):
+                own = list(zip(names[lo : lo + len(texts)], held[lo : lo + len(texts)], strict=True))
+                for name, kept in sorted(set(own)):
+                    some = [t for t, x in zip(texts, own, strict=True) if x == (name, kept)]
+                    found, n = np.unique(grams(characters(some), ORDER)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n), pa.array(n * kept)],
+                        ["lang", "gram", "n", "held"],
+                    )
 
     rows = (
-        counted.select("lang", "text")
-        .mapInArrow(count, "lang string, gram long, n long")
+        drawn.select("lang", "text", "held")
+        .mapInArrow(count, "lang string, gram long, n long, held long")
         .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
         .toArrow()
     )
     names = rows.column("lang").to_numpy(zero_copy_only=False) if rows.num_rows else np.array([])
     gram = rows.column("gram").to_numpy().view(np.uint64)
     n = rows.column("n").to_numpy()
-    counts = {}
+    held = rows.column("held").to_numpy()
+    counts, fewer, calibrated = {}, {}, []
     for name in sizes:
-        own = names == name
-        order = np.argsort(gram[own]) if len(names) else []
-        counts[name] = (gram[own][order], n[own][order]) if len(names) else (gram, n)
+        own = np.flatnonzero(names == name)
+        own = own[np.argsort(gram[own])]
+        counts[name] = fewer[name] = gram[own], n[own]
+        left = n[own] - held[own]
+        if 0 < held[own].sum() <= left.sum():
+            fewer[name] = gram[own][left > 0], left[left > 0]
+            calibrated.append(name)
     models = Models(counts)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(models)
+    if not calibrated:
+        return models
+    shared = docs.sparkSession.sparkContext.broadcast(Models(fewer))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,16 +263,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", seed: str = "do
                     ["lang", "h", "n"],
                 )
 
-    if models.languages:
-        held = drawn.where(F.col("draw") % CALIBRATION == 0).select("lang", "text")
-        for r in (
-            held.mapInArrow(score, "lang string, h double, n long")
-            .where("n >= 20")
-            .groupBy("lang")
-            .agg(F.avg("h").alias("mean"), F.coalesce(F.stddev("h"), F.lit(0.1)).alias("sd"))
-            .collect()
-        ):
-            models.limit[models.languages.index(r["lang"])] = r["mean"] + DEVIATIONS * r["sd"]
+    for r in (
+        drawn.where(F.col("held") & F.col("lang").isin(calibrated))
+        .select("lang", "text")
+        .mapInArrow(score, "lang string, h double, n long")
+        .where("n >= 20")
+        .groupBy("lang")
+        .agg(F.avg("h").alias("mean"), F.coalesce(F.stddev("h"), F.lit(0.1)).alias("sd"))
+        .collect()
+    ):
+        models.limit[models.languages.index(r["lang"])] = r["mean"] + DEVIATIONS * r["sd"]
     return models
 
 

@@ -207,14 +207,14 @@ def fit_scorer(parts: list[tuple], target: np.ndarray) -> Scorer:
 
 class Model(NamedTuple):
     labels: LabelModel
-    scorer: Scorer
+    scorer: Scorer | None  # of an empty sample: the labels decide
 
 
 def fit(docs: DataFrame, text: str = "text", seed: str = "doc_id") -> Model:
     """Count the vote patterns of all texts, then train the scorer on a bounded sample.
 
-    The sample is some ``SAMPLE_BYTES`` of whole texts, drawn by a hash of ``seed``. An empty
-    table gives a model that accepts what the labellers' prior accepts.
+    The sample is some ``SAMPLE_BYTES`` of whole texts, drawn by a hash of ``seed``. Where no
+    text is drawn, there is no scorer, and the posterior of a text's votes decides.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, text: str = "text", seed: str = "doc_id") -> Model:
         targets.append(labels.posterior(votes(stats, count).astype(np.int64)))
         n = hi
     if not n:
-        return Model(labels, Scorer(np.zeros(BINS, np.float32), 1.0))
+        return Model(labels, None)
     return Model(labels, fit_scorer(parts, np.concatenate(targets)))
 
 
@@ -259,9 +259,11 @@ def _scored(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     scores, posteriors = [np.zeros(0)], [np.zeros(0)]
     for chunk in chunks(column):
         stats, count = statistics(chunk)
-        some = model.scorer.score(chunk.hi - chunk.lo, *features(chunk, stats, count))
+        some = posterior = model.labels.posterior(votes(stats, count).astype(np.int64))
+        if model.scorer:
+            some = model.scorer.score(chunk.hi - chunk.lo, *features(chunk, stats, count))
         scores.append(np.where(count > 0, some, 0.0))
-        posteriors.append(model.labels.posterior(votes(stats, count).astype(np.int64)))
+        posteriors.append(posterior)
     return np.concatenate(scores), np.concatenate(posteriors)
 
 

@@ -4,7 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
-from llm.corpus import by_id, documents, table
+from llm.corpus import SCHEMA, by_id, documents, table
 
 from demandpanel.llm import langid, queries
 
@@ -103,3 +103,20 @@ def test_empty_tables_and_unlabelled_texts(spark):
     assert langid.identify(documents(spark, []), none).count() == 0
     bare = docs.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")
     assert langid.fit(bare).languages == []
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèàçñø"
+    words = [letters[k : k + 3] for k in range(0, 36, 3)]
+    texts = [f"{w} {w[::-1]} {w}{w[::-1]} " * 30 for w in words]
+    rows = [(k, t, f"l{k:02d}", "src0", len(t)) for k, t in enumerate(texts)]
+    one = spark.createDataFrame(rows, SCHEMA)
+    for size in (langid.SAMPLE_BYTES, 0):  # all texts, and long texts of which no byte is expected
+        monkeypatch.setattr(langid, "SAMPLE_BYTES", size)
+        got = by_id(langid.identify(one, langid.fit(one)))
+        assert [got[k]["lang_pred"] for k in range(12)] == [r[2] for r in rows]
+    monkeypatch.undo()
+    null = one.selectExpr("CAST(NULL AS bigint) AS doc_id", "text", "lang")
+    assert (langid.fit(null).limit == np.inf).all()
+    got = by_id(langid.identify(one, langid.fit(null)))
+    assert [got[k]["lang_pred"] for k in range(12)] == [r[2] for r in rows]

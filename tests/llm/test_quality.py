@@ -76,3 +76,11 @@ def test_empty_table(spark):
     none = documents(spark, [])
     model = quality.fit(none)
     assert quality.classify(none, model).count() == 0
+
+
+def test_labels_decide_without_a_sample(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 0)
+    got = quality.classify(docs, quality.fit(docs)).collect()
+    assert all(r["accepted"] == (r["posterior"] >= 0.5) for r in got if r["score"])
+    assert {r["accepted"] for r in got} == {True, False}
