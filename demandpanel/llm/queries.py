@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandpanel.llm import (
+    align,
     bpe,
     chat,
     decontaminate,
@@ -18,6 +19,7 @@ from demandpanel.llm import (
     quality,
     repeats,
     sharding,
+    whiten,
 )
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -127,6 +129,31 @@ def op10_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    out = whiten.whiten(table(spark, sf, "embeddings"))
+    place = F.posexplode("whitened").alias("place", "whitened")
+    return out.select("vec_id", "n", "deviation", "explained", "identity_error", place).select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.get("explained", F.col("place")).alias("explained"),
+        "identity_error",
+    )
+
+
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    vocabularies = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    rows = align.aligned(docs, *vocabularies, public_tokenizers.PATTERN)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = rows.withColumn("groups_sha256", digest).drop("groups")
+    return align.align_corpus(rows).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared"
+    )
+
+
 def op13_chat(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -158,6 +185,8 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_fingerprint": op10_fingerprint,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
     "op13_chat": op13_chat,
 }
 ORACLE: dict[str, str] = {}
