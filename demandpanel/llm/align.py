@@ -369,7 +369,9 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         blocks = batch.column("block").to_numpy()
-        cuts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else []
+        if not len(blocks):
+            continue
+        cuts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
         for lo, hi in zip(cuts, [*cuts[1:], len(blocks)], strict=True):
             if block is not None and (blocks[lo] != block or size > BLOCK_PAIRS):
                 yield merged()
