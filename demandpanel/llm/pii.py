@@ -21,11 +21,15 @@ KINDS = ("email", "ip", "card", "phone")
 #: Sampled texts (whole) that the network is trained on, at most about so many.
 SAMPLE_TEXTS = 500
 #: Characters of a training example, of a window that is read, and what neighbours share of it.
-WIDTH, WINDOW, SHARED = 64, 512, 64
+WIDTH, WINDOW, SHARED = 64, 1024, 64
+#: Windows are padded to a multiple of this, so that many of one length are read side by side.
+PADDED = 128
 #: Windows that are read at once, and characters of texts (at least one text) held at once.
-LANES, HELD = 512, 1 << 19
+LANES, HELD = 512, 1 << 20
 HIDDEN, EMBED = 16, 8
 EPOCHS, BATCH, RATE = 6, 24, 0.03
+#: Characters around a drawn place of a sampled text that its training examples are cut from.
+STRETCH = 4000
 #: Mean margin over "no data" (log odds a character) that a span of the network needs. Most
 #: characters of an address are letters as anywhere: it needs a margin as a whole, transitions too.
 MARGIN, WHOLE = 2.0, 10.0
@@ -103,8 +107,22 @@ def tags(n: int, spans: list[Span]) -> np.ndarray:
     return out
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _squash(x: np.ndarray) -> np.ndarray:
+    """Between -1 and 1, with the slope ``(1 - |y|) ** 2`` at the value y: an absolute value, a sum and a
+    quotient are a fifth of a hyperbolic tangent's cost."""
+    return x / (1 + np.abs(x))
+
+
+def _gate(x: np.ndarray) -> np.ndarray:
+    return (1 + _squash(x)) / 2
+
+
+def _gate_slope(y: np.ndarray) -> np.ndarray:
+    return (1 - np.abs(2 * y - 1)) ** 2 / 2
+
+
+def _slope(y: np.ndarray) -> np.ndarray:
+    return (1 - np.abs(y)) ** 2
 
 
 class Network:
@@ -116,7 +134,7 @@ class Network:
         self.p = {"e": g(130, EMBED), "o": g(2 * HIDDEN, TAGS), "ob": np.zeros(TAGS)}
         for way in "lr":
             self.p |= {f"w{way}": g(EMBED + HIDDEN, 4 * HIDDEN), f"b{way}": np.zeros(4 * HIDDEN)}
-            self.p[f"b{way}"][HIDDEN : 2 * HIDDEN] = 1.0  # remember at first
+            self.p[f"b{way}"][HIDDEN : 2 * HIDDEN] = 3.0  # remember at first
         self.p["t"] = np.zeros((TAGS, TAGS))
 
     def _lstm(self, x: np.ndarray, way: str):
@@ -128,10 +146,10 @@ class Network:
         for t in range(length):
             z = np.concatenate([x[:, t], h], 1)
             a = z @ w + b
-            i, f, o = (_sigmoid(a[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
-            g = np.tanh(a[:, 3 * HIDDEN :])
+            i, f, o = (_gate(a[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
+            g = _squash(a[:, 3 * HIDDEN :])
             before, c = c, f * c + i * g
-            tc = np.tanh(c)
+            tc = _squash(c)
             h = o * tc
             out[:, t] = h
             kept.append((z, i, f, o, g, before, tc))
@@ -144,10 +162,9 @@ class Network:
         for t in range(d.shape[1] - 1, -1, -1):
             z, i, f, o, g, before, tc = kept[t]
             dh = dh + d[:, t]
-            dc = dc + dh * o * (1 - tc * tc)
-            da = np.concatenate(
-                [dc * g * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], 1
-            )
+            dc = dc + dh * o * _slope(tc)
+            gates = [dc * g * _gate_slope(i), dc * before * _gate_slope(f), dh * tc * _gate_slope(o)]
+            da = np.concatenate([*gates, dc * i * _slope(g)], 1)
             grad[f"w{way}"] += z.T @ da
             grad[f"b{way}"] += da.sum(0)
             dz = da @ w.T
@@ -228,31 +245,36 @@ class Network:
         """``emissions`` without what training needs, a column per window, as fast as numpy goes."""
         n, length = x.shape
         x = np.ascontiguousarray(x.T)
-        half = np.ones((4 * HIDDEN, 1), np.float32)
-        half[: 3 * HIDDEN] = 0.5  # the sigmoid by tanh, which has no branches
         e = np.ascontiguousarray(self.p["e"].T, np.float32)
         ways = [np.concatenate([self.p[f"w{way}"], self.p[f"b{way}"][None]]).T for way in "lr"]
-        w = np.stack(ways).astype(np.float32) * half  # both directions go side by side
+        w = np.stack(ways).astype(np.float32)  # both directions go side by side
         o = np.ascontiguousarray(self.p["o"].reshape(2, HIDDEN, TAGS).transpose(0, 2, 1), np.float32)
+        # Gates stand for twice their value here, and so does the output h.
+        w[:, :, EMBED:-1] *= 0.5
+        o = o * np.float32(0.5)
         out = np.zeros((length, TAGS, n), np.float32)
         z = np.zeros((2, EMBED + HIDDEN + 1, n), np.float32)
         z[:, -1] = 1
         left, right, h = z[0, :EMBED], z[1, :EMBED], z[:, EMBED:-1]
-        c, tc = np.zeros((2, 2, HIDDEN, n), np.float32)
-        a = np.empty((2, 4 * HIDDEN, n), np.float32)
+        c, tc, size = np.zeros((3, 2, HIDDEN, n), np.float32)
+        a, sizes = np.empty((2, 2, 4 * HIDDEN, n), np.float32)
         gates, part = a[:, : 3 * HIDDEN], np.empty((2, TAGS, n), np.float32)
         i, f, u, g = (a[:, j * HIDDEN : (j + 1) * HIDDEN] for j in range(4))
         for t in range(length):
             e.take(x[t], 1, left, "clip")
             e.take(x[-1 - t], 1, right, "clip")
             np.matmul(w, z, out=a)
-            np.tanh(a, out=a)
-            gates *= 0.5
-            gates += 0.5
+            np.abs(a, out=sizes)
+            sizes += 1
+            a /= sizes
+            gates += 1
             c *= f
             i *= g
             c += i
-            np.tanh(c, out=tc)
+            c *= 0.5
+            np.abs(c, out=size)
+            size += 1
+            np.divide(c, size, out=tc)
             np.multiply(u, tc, out=h)
             np.matmul(o, h, out=part)
             out[t] += part[0]
@@ -308,7 +330,7 @@ class Network:
         starts, sizes, inner, last = map(np.concatenate, (starts, sizes, inner, last))
         rise = ((np.arange(SHARED, dtype=np.float32) + 0.5) / SHARED)[:, None]
         # The padding is the same for equal windows, whatever else is read with them.
-        padded = -(-sizes // 32) * 32
+        padded = -(-sizes // PADDED) * PADDED
         for length in np.unique(padded).tolist():
             same = np.flatnonzero(padded == length)
             for k in range(0, len(same), LANES):
@@ -327,17 +349,26 @@ class Network:
         """The best tags of all texts; ``first`` is where each begins.
 
         A run of other tags gains at most what its places and transitions gain over "outside"
-        each at best. Places that are in no run with a gain are outside in the best path for
-        certain; the stretches between them are decoded side by side.
+        each at best, and loses what it costs to enter and to leave. Places that are in no run with a gain
+        are outside in the best path for certain; the stretches between them are decoded side by side.
         """
         t = self.p["t"].astype(np.float32)
-        inner = t[1:, 1:].max() - t[0, 0]
-        ends = max(t[0, 1:].max() - t[0, 0], 0) + max(t[1:, 0].max() - t[0, 0], 0) - inner
-        gain = s[:, 1:].max(1).astype(np.float64) - s[:, 0] + inner
+        # What follows a first character is paid on entering instead: no sum over a run changes, but
+        # the best step from one place to the next is no longer one that a run takes only once.
+        moved = np.zeros(TAGS, np.float32)
+        head, body = np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)
+        moved[head] = t[head, body] - t[body, body]
+        step = t + moved - moved[:, None] - t[0, 0]
+        inner = step[1:, 1:].max(0)
+        enter, leave = (step[0, 1:] - inner).max(), step[1:, 0].max()
+        gain = (s[:, 1:] + inner).max(1).astype(np.float64) - s[:, 0]
+        # Nothing is paid before a text's first place and after its last.
+        gain[first[:-1]] += max((moved[1:] - inner).max() - enter, 0)
+        gain[np.maximum(first[1:] - 2, 0)] += max((-moved[1:]).max() - leave, 0)
         total = np.r_[0, np.cumsum(gain)]
         # The best run through a place: the highest sum at or after it, less the lowest before.
         after = np.maximum.accumulate(total[::-1])[::-1][1:]
-        sure = after - np.minimum.accumulate(total)[:-1] + ends < -0.05
+        sure = after - np.minimum.accumulate(total)[:-1] + enter + leave < -0.05
         path = np.zeros(len(s), np.int64)
         edge = np.flatnonzero(np.diff(np.r_[True, sure, True]))
         begin, end = edge[::2], edge[1::2]
@@ -392,8 +423,10 @@ def detect_all(texts: list[str | None], network: Network | None) -> list[tuple[l
     """For every text, the spans of the patterns, and all spans: those of the network that touch
     none of them too."""
     texts = [t or "" for t in texts]
-    found = network.spans(texts) if network else [[] for _ in texts]
-    return [_joined(t, patterns(t), more) for t, more in zip(texts, found, strict=True)]
+    once = list(dict.fromkeys(texts))  # copies are read once
+    found = network.spans(once) if network else [[] for _ in once]
+    spans = {t: _joined(t, patterns(t), more) for t, more in zip(once, found, strict=True)}
+    return [spans[t] for t in texts]
 
 
 def _joined(text: str, base: list[Span], found: list[Span]) -> tuple[list[Span], list[Span]]:
@@ -456,7 +489,9 @@ def examples(texts: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         y.append(tag)
 
     for text in texts:
-        text = text[:4000]  # of a training example; texts to be searched are read whole
+        if len(text) > STRETCH:
+            lo = pick.randrange(len(text) - STRETCH)
+            text = text[lo : lo + STRETCH]
         if len(text) < 10:
             continue
         spans = patterns(text)
@@ -490,12 +525,15 @@ def examples(texts: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, text: str = "text", seed: str = "doc_id") -> Network:
     """Train the network on about ``SAMPLE_TEXTS`` texts drawn by a hash of ``seed``; without
-    any texts it stays untrained and finds nothing that the patterns do not."""
+    any texts it stays untrained and finds nothing that the patterns do not. Of each text drawn,
+    ``STRETCH`` characters at a drawn place teach; texts that are searched are read whole."""
     n = docs.count()
     draw = F.pmod(F.xxhash64(F.col(seed).cast("string"), F.lit("pii")), F.lit(1 << 30))
     share = int(min(1.0, SAMPLE_TEXTS / max(n, 1)) * (1 << 30))
-    # Made-up values are set into the beginning of a text, so no more of it is fetched.
-    rows = docs.where(draw < share).select(F.substring(F.col(text), 1, 4000)).toArrow()
+    # Examples are windows of some characters, so a stretch of each text is fetched, from a drawn place.
+    spare = F.greatest(F.char_length(text) - STRETCH, F.lit(0))
+    place = F.pmod(F.xxhash64(F.col(seed).cast("string"), F.lit("place")), spare + 1).cast("int")
+    rows = docs.where(draw < share).select(F.substr(F.col(text), place + 1, F.lit(STRETCH))).toArrow()
     texts = [t for t in rows.column(0).to_pylist() if t]
     return Network().train(*examples(sorted(texts)))
 

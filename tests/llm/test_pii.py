@@ -48,7 +48,6 @@ def test_query_against_brute_force(spark, sf):
         assert [row[f"n_{x}"] for x in pii.KINDS] == [sum(s[1] == k for s in base) for k in range(4)]
         spans = row["spans"].split(",") if row["spans"] else []
         assert set(written) <= set(spans)
-        assert not spans or pii._TRIGGER.search(d["text"])
         some += len(base)
     assert some and not got
 
@@ -85,18 +84,33 @@ def network(spark, sf):
     return pii.fit(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
-def test_held_out_spellings_and_clean_texts(network, sf):
+def test_recall_of_held_out_spellings_by_kind(sf):
+    """Trained on half of the texts, found whole in the others: made-up values that no pattern takes."""
     texts = [d["text"] for d in table(sf, "documents")]
-    plain = [t for t in texts if not brute(t)]
-    added = sum(len(pii.detect(t, network)[1]) for t in plain)
+    net = pii.Network().train(*pii.examples(sorted(texts[::2])))
+    plain = [t for t in texts[1::2] if not brute(t)]
+    added = sum(bool(found) for _, found in pii.detect_all(plain, net))
     assert added <= len(plain) / 100
-    pick, hit = random.Random(5), 0
-    for t in plain[:200]:
+    pick, cases = random.Random(5), []
+    for t in plain * 3:
         value, kind = pii._made_up(pick)
-        at = t.find(" ", len(t) // 2) + 1
-        spans = pii.detect(f"{t[:at]}{value} {t[at:]}", network)[1]
-        hit += any(k == kind and a < at + len(value) and b > at for a, k, b in spans)
-    assert hit >= 150
+        at = t.find(" ", pick.randrange(max(len(t) // 2, 1))) + 1
+        if not brute(value):
+            cases.append((f"{t[:at]}{value} {t[at : at + 3000]}", at, kind, at + len(value)))
+    whole = {k: [] for k in range(4)}
+    for (_, *span), (_, found) in zip(cases, pii.detect_all([c[0] for c in cases], net), strict=True):
+        whole[span[1]].append(tuple(span) in found)
+    for kind, found in whole.items():
+        assert len(found) > 50 and np.mean(found) >= 0.88, (pii.KINDS[kind], np.mean(found))
+    assert np.mean([x for found in whole.values() for x in found]) >= 0.92
+
+
+def test_copies_are_read_once(network, monkeypatch):
+    read = []
+    spans = network.spans
+    monkeypatch.setattr(network, "spans", lambda texts: read.extend(texts) or spans(texts))
+    out = pii.detect_all(["jane (at) example.org", None, "jane (at) example.org", ""], network)
+    assert read == ["jane (at) example.org", ""] and out[0] == out[2] and out[1] == out[3] == ([], [])
 
 
 @pytest.mark.parametrize(
