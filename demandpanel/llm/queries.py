@@ -77,10 +77,8 @@ def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    training = docs.where(~held_out)
-    counts = lm.held_fast(lm.count_words(training))
-    model = lm.fit(training, counts)
-    return lm.score(docs, counts, model).select(
+    scores, model = lm.learn_and_score(docs, ~held_out)
+    return scores.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.vocabulary.total).cast("long").alias("train_tokens"), "base_score", "score",
     )
