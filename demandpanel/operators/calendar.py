@@ -19,6 +19,13 @@ def date_bounds(df: DataFrame) -> DataFrame:
     return df.agg(F.min(TIME).alias("lo"), F.max(TIME).alias("hi"))
 
 
+def calendar_end(bounds: DataFrame, freq: str | Frequency) -> DataFrame:
+    """One row ``hi``: the last period between two dates, where every filled series ends."""
+    f = parse_frequency(freq)
+    last = f.snap_down(f.floor(F.col("hi")), f.ceil(F.col("lo")))
+    return bounds.select(f.date_of(last).alias("hi"))
+
+
 def _day(value: datetime.date | str) -> Column:
     return F.lit(str(value)[:10]).cast("date")
 
@@ -60,7 +67,8 @@ def place_on_calendar(
     Rows, ordered by date inside their series, cover the periods from their own date up
     to the next row's date; the first also those since the global start, the last those
     up to the global end. ``_at`` is the row's own index, null off the calendar, where
-    the values are lost too. ``_grid`` holds the first and last index of the calendar.
+    the values are lost too. ``_grid`` holds the first and last index of the calendar,
+    ``_is_first`` marks a row of each series.
     """
     f = parse_frequency(freq)
     static = list(static)
@@ -92,7 +100,7 @@ def place_on_calendar(
         }
     )
     on_calendar = {c: F.when(F.col("_own"), F.col(c)) for c in ["_at", *carried]}
-    return placed.withColumns(on_calendar).drop("_is_first", "_next", "_own")
+    return placed.withColumns(on_calendar).drop("_next", "_own")
 
 
 def spread_over_calendar(
@@ -100,7 +108,7 @@ def spread_over_calendar(
 ) -> DataFrame:
     """One row per covered period, the values on the row's own period only."""
     f = parse_frequency(freq)
-    hidden = ("_at", "_start", "_stop", "_grid")
+    hidden = ("_at", "_start", "_stop", "_grid", "_is_first")
     carried = [c for c in placed.columns if c not in (ID, TIME, *static, *hidden)]
     covered = _indices(F.col("_start"), F.col("_stop"), f.step)
     periods = placed.select(ID, "_at", *static, *carried, F.explode(covered).alias("_k"))

@@ -8,22 +8,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandpanel.functions.columns import ID, TARGET, TIME, by_series, in_time, require_columns
+from demandpanel.functions.columns import ID, TARGET, TIME, require_columns
 from demandpanel.functions.spec import (
     DIFFERENCE, SCALE, ExpandingStd, ExponentialMean, ModelSpec, RollingMean,
 )
 
 TRANSFORMED = "z"
+#: What tells series apart; a frame of several folds has the fold, too.
+SERIES = (ID,)
 
 
-def difference(df: DataFrame, column: str = TARGET, into: str = TRANSFORMED) -> DataFrame:
+def difference(
+    df: DataFrame, column: str = TARGET, into: str = TRANSFORMED, keys: Sequence[str] = SERIES
+) -> DataFrame:
     """Change since the previous row; null on the first row."""
-    return df.withColumn(into, F.col(column) - F.lag(column).over(in_time()))
+    earlier = F.lag(column).over(Window.partitionBy(*keys).orderBy(TIME))
+    return df.withColumn(into, F.col(column) - earlier)
 
 
-def local_scale(df: DataFrame, column: str = TARGET, into: str = TRANSFORMED) -> DataFrame:
+def local_scale(
+    df: DataFrame, column: str = TARGET, into: str = TRANSFORMED, keys: Sequence[str] = SERIES
+) -> DataFrame:
     """Centre and scale by the mean and population deviation of the series."""
-    mean, std = F.avg(column).over(by_series()), F.stddev_pop(column).over(by_series())
+    whole = Window.partitionBy(*keys)
+    mean, std = F.avg(column).over(whole), F.stddev_pop(column).over(whole)
     scaled = df.withColumn("_mean", mean).withColumn("_std", std)
     return scaled.withColumn(
         into, (F.col(column) - F.col("_mean")) / scale_of(F.col("_std"))
@@ -35,12 +43,12 @@ def scale_of(std: Column) -> Column:
     return F.when(std > 0, std).otherwise(1.0)
 
 
-def transform_target(df: DataFrame, spec: ModelSpec) -> DataFrame:
+def transform_target(df: DataFrame, spec: ModelSpec, keys: Sequence[str] = SERIES) -> DataFrame:
     """Add ``z``: the target after the spec's transforms, in their order."""
     steps = {DIFFERENCE: difference, SCALE: local_scale}
     df = df.withColumn(TRANSFORMED, F.col(TARGET))
     for name in spec.target_transforms:
-        df = steps[name](df, TRANSFORMED)
+        df = steps[name](df, TRANSFORMED, keys=keys)
     return df
 
 
@@ -50,7 +58,7 @@ def ewm_terms(alpha: float) -> int:
 
 
 def running_ewm(
-    df: DataFrame, alpha: float, into: str, column: str = TRANSFORMED
+    df: DataFrame, alpha: float, into: str, column: str = TRANSFORMED, keys: Sequence[str] = SERIES
 ) -> tuple[DataFrame, str]:
     """Add the exponentially weighted mean of the series up to each row.
 
@@ -62,18 +70,19 @@ def running_ewm(
     """
     terms, keep = ewm_terms(alpha), F.lit(1 - alpha)
     block, place, own = f"_block_{into}", f"_place_{into}", f"_own_{into}"
-    known_before = in_time().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_time = Window.partitionBy(*keys).orderBy(TIME)
+    known_before = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = df.withColumn(place, F.count(column).over(known_before) - 1).withColumns(
         {block: F.floor(F.col(place) / terms), place: F.pmod(F.col(place), F.lit(terms))}
     )
     is_first = (F.col(place) == 0) & (F.col(block) == 0)
     weight = F.when(is_first, 1.0).otherwise(alpha) * F.pow(keep, -F.col(place))
-    in_block = Window.partitionBy(ID, block).orderBy(TIME)
+    in_block = Window.partitionBy(*keys, block).orderBy(TIME)
     total = F.sum(F.col(column) * weight).over(
         in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = rows.withColumn(own, total * F.pow(keep, F.col(place)))
-    earlier = Window.partitionBy(ID).orderBy(block, TIME).rowsBetween(
+    earlier = Window.partitionBy(*keys).orderBy(block, TIME).rowsBetween(
         Window.unboundedPreceding, -1
     )
     at_block_end = F.when(F.col(place) == terms - 1, F.col(own))
@@ -90,20 +99,21 @@ def lag_features(
     exogenous: Sequence[str] = (),
     static: Sequence[str] = (),
     keep_incomplete: bool = False,
+    keys: Sequence[str] = SERIES,
 ) -> DataFrame:
     """The model matrix: key, ``y``, ``z``, static and exogenous columns, lag features.
 
     All windows share the shuffle by series. Rows with a missing target or lag feature
-    are left out unless ``keep_incomplete``.
+    are left out unless ``keep_incomplete``. ``keys`` tell the series apart.
     """
-    require_columns(df, [ID, TIME, TARGET, *static, *exogenous])
-    out = transform_target(df.select(ID, TIME, TARGET, *static, *exogenous), spec)
+    require_columns(df, [*keys, TIME, TARGET, *static, *exogenous])
+    out = transform_target(df.select(*keys, TIME, TARGET, *static, *exogenous), spec, keys)
     blocks = []
     for name, (_, t) in spec.lag_features().items():
         if isinstance(t, ExponentialMean):
-            out, block = running_ewm(out, t.alpha, f"_now_{name}")
+            out, block = running_ewm(out, t.alpha, f"_now_{name}", keys=keys)
             blocks = [block]
-    series = Window.partitionBy(ID).orderBy(*blocks, TIME)
+    series = Window.partitionBy(*keys).orderBy(*blocks, TIME)
     windowed, final = [], []
     for name, (lag, t) in spec.lag_features().items():
         if t is None:
@@ -122,7 +132,7 @@ def lag_features(
         elif isinstance(t, ExponentialMean):
             windowed.append(F.lag(f"_now_{name}", lag).over(series).alias(name))
             final.append(F.col(name))
-    columns = [ID, TIME, TARGET, TRANSFORMED, *static, *exogenous]
+    columns = [*keys, TIME, TARGET, TRANSFORMED, *static, *exogenous]
     out = out.select(*columns, *windowed).select(*columns, *final)
     if keep_incomplete:
         return out

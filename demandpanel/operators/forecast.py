@@ -2,8 +2,9 @@
 
 A series is one row for forecasting: its history as an array, the last transformed
 values and running statistics as state. Each step builds the lag features from that
-state, scores them with the Spark ML model and updates the state, so a forecast of any
-horizon is a chain of projections with no shuffle between the steps.
+state, scores them and updates the state. With models that are expressions (linear ones and
+trees) the steps are one fold, whose plan is the same for any horizon; others are scored
+by Spark ML in a chain of projections. Neither shuffles between the steps.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ from demandpanel.functions.columns import (
     ID, LABEL, TARGET, TIME, by_series, in_time, require_columns, row_mean,
 )
 from demandpanel.functions.frequency import Frequency
+from demandpanel.functions.scoring import (
+    LinearFit, Scorer, least_squares, linear_scorer, numbers, scorer,
+)
 from demandpanel.functions.spec import (
     DIFFERENCE, SCALE, ExpandingStd, ExponentialMean, LinearModel, ModelSpec, RollingMean,
     TreeModel,
@@ -60,23 +65,16 @@ def _boosted_trees(model: TreeModel) -> Estimator:
     )
 
 
-def _least_squares(model: LinearModel) -> Estimator:
-    return LinearRegression(
-        featuresCol="features", labelCol=TRANSFORMED, regParam=model.penalty, solver="normal"
-    )
-
-
 # Builder per model kind; add an entry to plug in another Spark ML regressor.
-ESTIMATORS: dict[str, Callable[[TreeModel | LinearModel], Estimator]] = {
+ESTIMATORS: dict[str, Callable[[TreeModel], Estimator]] = {
     "lgbm": _boosted_trees,
     "xgb": _boosted_trees,
     "gbt": _boosted_trees,
-    "linear": _least_squares,
 }
 
 
-def build_estimator(model: TreeModel | LinearModel) -> Estimator:
-    """The Spark ML estimator of a model."""
+def build_estimator(model: TreeModel) -> Estimator:
+    """The Spark ML estimator of a model; linear models need none."""
     if model.kind not in ESTIMATORS:
         raise ValueError(f"Unknown model kind {model.kind!r}; known: {sorted(ESTIMATORS)}")
     return ESTIMATORS[model.kind](model)
@@ -94,7 +92,7 @@ class FittedLabel:
     exogenous: tuple[str, ...]
     static: tuple[str, ...]
     text: tuple[str, ...]
-    models: Mapping[str, Model]
+    models: Mapping[str, Model | LinearFit]
 
     @property
     def feature_names(self) -> list[str]:
@@ -122,39 +120,98 @@ def _static_name(columns: Sequence[str], column: str) -> str:
     return f"`{_code(column)}`" if _code(column) in columns else f"`{column}`"
 
 
+def together(tasks: Mapping[str, Callable[[], object]], at_once: int) -> dict:
+    """Results of tasks that submit jobs, ``at_once`` of them side by side.
+
+    Each runs in a scheduler pool of its own name, so that under fair scheduling the stages of a
+    short fit are not kept waiting by a long one. The first error is raised.
+    """
+    spark = SparkSession.active()
+
+    def run(name: str, task: Callable[[], object]) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return task()
+
+    if at_once < 2 or len(tasks) < 2:
+        return {name: task() for name, task in tasks.items()}
+    with ThreadPoolExecutor(min(at_once, len(tasks))) as pool:
+        # Wrapped here, so that the thread inherits this thread's properties.
+        started = {
+            name: pool.submit(inheritable_thread_target(spark)(run), name, task)
+            for name, task in tasks.items()
+        }
+        return {name: f.result() for name, f in started.items()}
+
+
+def _matrix(
+    rows: DataFrame, spec: ModelSpec, exogenous: Sequence[str], static: Sequence[str],
+    keys: Sequence[str] = (ID,),
+) -> tuple[DataFrame, list[str], tuple[str, ...]]:
+    """Lag features with codes, the features as SQL names, and the static columns that were coded."""
+    kinds = dict(rows.dtypes)
+    text = tuple(c for c in static if kinds[c] == "string")
+    matrix = _with_codes(lag_features(rows, spec, exogenous, static, keys=keys), text)
+    features = [
+        *[_static_name(matrix.columns, c) for c in static],
+        *[f"`{c}`" for c in [*exogenous, *spec.lag_features()]],
+    ]
+    return matrix, features, text
+
+
+def _is_linear(spec: ModelSpec) -> bool:
+    return all(isinstance(m, LinearModel) and m.kind not in ESTIMATORS for m in spec.models.values())
+
+
 def fit_label(
     rows: DataFrame,
     label: str,
     spec: ModelSpec,
     exogenous: Sequence[str] = (),
     static: Sequence[str] = (),
+    at_once: int = 4,
+    partitions: int | None = None,
 ) -> FittedLabel | None:
     """Fit the label's models on all its series; None where there are no rows.
 
-    ``rows`` are the panel rows of this label. The matrix is kept, spilling to disk,
-    only while its models are fitted.
+    ``rows`` are the panel rows of this label. Linear models are solved from the sums of one
+    aggregate. For others the matrix is kept, spilling to disk, while the models are fitted side by
+    side, ``at_once`` of them. It is laid out by a hash of the series in ``partitions`` (by
+    default as many as the session shuffles to) and sorted in each: which rows a tree's
+    subsample holds then depends on the series and that number, not on files or sizes.
     """
     if rows.isEmpty():
         return None
     ensure_checkpoint_dir(rows.sparkSession)
-    kinds = dict(rows.dtypes)
-    text = tuple(c for c in static if kinds[c] == "string")
-    matrix = _with_codes(lag_features(rows, spec, exogenous, static), text)
-    columns = [
-        *[_static_name(matrix.columns, c) for c in static],
-        *[f"`{c}`" for c in [*exogenous, *spec.lag_features()]],
-    ]
-    matrix = matrix.select(TRANSFORMED, _feature_vector(columns).alias("features"))
-    matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
+    too_short = f"No series labelled {label} is long enough for the features of {spec.name}"
+    if _is_linear(spec):
+        matrix, features, text = _matrix(rows, spec, exogenous, static)
+        fits = least_squares(matrix, features, TRANSFORMED, _penalties(spec))
+        if not fits:
+            raise ValueError(too_short)
+        return FittedLabel(label, spec, tuple(exogenous), tuple(static), text, fits)
+    parts = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    matrix, features, text = _matrix(rows.repartition(parts, ID), spec, exogenous, static)
+    kept = matrix.select(TRANSFORMED, _feature_vector(features).alias("features"))
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if matrix.isEmpty():
-            raise ValueError(
-                f"No series labelled {label} is long enough for the features of {spec.name}"
-            )
-        models = {name: build_estimator(m).fit(matrix) for name, m in spec.models.items()}
+        if kept.isEmpty():
+            raise ValueError(too_short)
+        linear = {n: m for n, m in spec.models.items() if m.kind not in ESTIMATORS and isinstance(m, LinearModel)}
+        fits = {
+            f"{label} {n}": (lambda m=m: build_estimator(m).fit(kept))
+            for n, m in spec.models.items()
+            if n not in linear
+        }
+        models = together(fits, at_once)
     finally:
-        matrix.unpersist()
-    return FittedLabel(label, spec, tuple(exogenous), tuple(static), text, models)
+        kept.unpersist()
+    solved = least_squares(matrix, features, TRANSFORMED, _penalties(spec)) if linear else {}
+    named = {n: solved[n] if n in linear else models[f"{label} {n}"] for n in spec.models}
+    return FittedLabel(label, spec, tuple(exogenous), tuple(static), text, named)
+
+
+def _penalties(spec: ModelSpec) -> dict[str, float]:
+    return {n: m.penalty for n, m in spec.models.items() if isinstance(m, LinearModel)}
 
 
 # --- Recursive forecast -----------------------------------------------------------
@@ -177,10 +234,11 @@ def _moments(values: str) -> str:
 
 def _tail_length(spec: ModelSpec) -> int:
     """How many past values the next period's features reach back."""
-    return max(
+    reach = (
         lag + (t.size - 1 if isinstance(t, RollingMean) else 0)
         for lag, t in spec.lag_features().values()
     )
+    return max(reach, default=1)
 
 
 def _transformed(df: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -283,8 +341,33 @@ def _next_state(spec: ModelSpec, state: str, z: str) -> str:
     return _struct(fields)
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _fold(fitted: FittedLabel, model: str, how: Scorer, columns: Sequence[str], horizon: int) -> str:
+    """SQL for all predictions of one model: a fold over the steps, each on its own predictions."""
+    spec = fitted.spec
+    outside = [
+        *[_static_name(columns, c) for c in fitted.static],
+        *[f"ahead[step].`{c}`" for c in fitted.exogenous],
+    ]
+    inside = [_state_feature(spec, "now", n, lag, t) for n, (lag, t) in spec.lag_features().items()]
+    values = [f"coalesce(cast({f} as double), double('NaN'))" for f in [*outside, *inside]]
+    after = _next_state(spec, "now", "predicted")
+    known = f"array({', '.join(values)})" if values else "cast(array() as array<double>)"
+    body = _let(known, "known", _let(how.sql("known"), "predicted", after))
+    steps = f"sequence(0, {horizon - 1})"
+    return f"aggregate({steps}, {_state(model)}, (now, step) -> {body}, ended -> ended.done)"
+
+
 def _predict_series(
-    series: DataFrame, fitted: FittedLabel, horizon: int, checkpoint_every: int | None = None
+    series: DataFrame,
+    fitted: FittedLabel,
+    horizon: int,
+    checkpoint_every: int | None = None,
+    scorers: Mapping[str, Scorer] | None = None,
 ) -> DataFrame:
     """Add ``y_pred``, an array of ``horizon`` predictions averaged over the models.
 
@@ -294,13 +377,34 @@ def _predict_series(
     df = _with_codes(series, fitted.text)
     df = _initial_state(_transformed(df, fitted.spec), fitted)
     columns = df.columns
+    how = scorers or {name: scorer(name, m) for name, m in fitted.models.items()}
+    for name, one in how.items():
+        if one:
+            df = df.withColumns(one.columns)
+            done = F.expr(_fold(fitted, name, one, columns, horizon))
+            df = df.withColumn(f"_done_{name}", done).drop(*one.columns)
+    others = {name: m for name, m in fitted.models.items() if not how[name]}
+    if others:
+        df = _chain(df, fitted, others, horizon, checkpoint_every)
+    done = [F.col(f"_done_{name}") if how[name] else F.col(f"{_state(name)}.done") for name in fitted.models]
+    steps = F.transform(
+        F.sequence(F.lit(0), F.lit(horizon - 1)), lambda i: row_mean([F.get(d, i) for d in done])
+    )
+    return df.withColumn("y_pred", steps)
+
+
+def _chain(
+    df: DataFrame, fitted: FittedLabel, models: Mapping[str, Model], horizon: int, checkpoint_every: int | None
+) -> DataFrame:
+    """The states after ``horizon`` steps of models that Spark ML scores: a projection a step."""
+    columns = df.columns
     spec, lagged = fitted.spec, fitted.spec.lag_features().items()
     for step in range(horizon):
         outside = [
             *[_static_name(columns, c) for c in fitted.static],
             *[f"ahead[{step}].`{c}`" for c in fitted.exogenous],
         ]
-        for name, model in fitted.models.items():
+        for name, model in models.items():
             state = _state(name)
             inside = [_state_feature(spec, state, n, lag, t) for n, (lag, t) in lagged]
             df = model.transform(df.withColumn("features", _feature_vector([*outside, *inside])))
@@ -310,11 +414,7 @@ def _predict_series(
         if checkpoint_every and (step + 1) % checkpoint_every == 0 and step + 1 < horizon:
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint()
-    done = [F.col(f"{_state(name)}.done") for name in fitted.models]
-    steps = F.transform(
-        F.sequence(F.lit(0), F.lit(horizon - 1)), lambda i: row_mean([F.get(d, i) for d in done])
-    )
-    return df.withColumn("y_pred", steps)
+    return df
 
 
 def _with_history(series: DataFrame, static: Sequence[str]) -> DataFrame:
@@ -355,8 +455,8 @@ def forecast_label(
 
     ``rows`` is the history of this label, ``future`` holds the coming periods of at
     least its series with the exogenous columns. Both become one row per series before
-    they are joined. The plan grows with the horizon: ``checkpoint_every`` cuts it after
-    every so many steps, which runs jobs; without it the result is lazy.
+    they are joined. Only models that Spark ML must score make a plan that grows with the
+    horizon: for those ``checkpoint_every`` cuts it after every so many steps, which runs jobs.
     """
     _check_forecast(fitted, horizon)
     require_columns(future, [ID, TIME, *fitted.exogenous])
@@ -431,10 +531,10 @@ def _check_folds(windows: int, periods: int) -> None:
 
 
 def _fold_series(
-    series: DataFrame, windows: int, periods: int, fold: int
+    series: DataFrame, windows: int, periods: int, fold: int | Column
 ) -> DataFrame:
     """Split each series' array into the fold's ``history`` and ``ahead``."""
-    stop = F.size("rows") - (windows - fold) * periods
+    stop = F.size("rows") - (F.lit(windows) - fold) * periods
     split = series.withColumn("_stop", stop).where(F.col("_stop") > 0)
     return split.select(
         "*",
@@ -474,12 +574,14 @@ def backtest_label(
     static: Sequence[str] = (),
     features: str = "as_given",
     season_length: int | None = None,
+    at_once: int = 4,
 ) -> DataFrame | None:
     """Rolling-origin backtest of one label, refitted in every fold.
 
     Exogenous values are those of the panel (``as_given``), or trend and seasonal are
     recomputed from each fold's history (``per_fold``, needs ``season_length``). Series
-    become arrays once; every fold is a slice of them.
+    become arrays once; every fold is a slice of them. Linear models of all folds are solved from one
+    aggregate by fold; others are fitted side by side, ``at_once`` folds of them.
     """
     _check_folds(windows, periods)
     if features not in ("as_given", "per_fold"):
@@ -489,42 +591,81 @@ def backtest_label(
     if rows.isEmpty():
         return None
     columns = [TIME, TARGET, *exogenous, *static]
-    series = series_rows(rows, columns[1:]).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    try:
-        for fold in range(windows):
-            folded = _fold_series(series, windows, periods, fold)
-            if features == "per_fold":
-                folded = _refit_features(folded, season_length, periods, columns)
-            train = folded.select(ID, explode_rows(F.col("history")).alias("r")).select(ID, "r.*")
-            fitted = fit_label(train, label, spec, exogenous, static)
-            if fitted is None:
-                warnings.warn(f"{label}: no training rows in fold {fold}", stacklevel=2)
-                continue
-            last = F.element_at("history", -1)
-            folded = folded.withColumns(
-                {"cutoff": last[TIME], **{c: last[c] for c in static}}
-            )
-            predicted = _predict_series(folded, fitted, periods)
-            pairs = explode_rows(F.arrays_zip("ahead", "y_pred"))
-            parts.append(
-                predicted.select(ID, "cutoff", pairs.alias("r")).select(
-                    ID,
-                    F.col(f"r.ahead.{TIME}").alias(TIME),
-                    "cutoff",
-                    F.col(f"r.ahead.{TARGET}").alias(TARGET),
-                    F.col("r.y_pred").alias("y_pred"),
-                    F.lit(label).alias(LABEL),
-                )
-            )
-    finally:
-        series.unpersist()
+    series = series_rows(rows, columns[1:])
+    if not _is_linear(spec):  # every fold reads them, while it is fitted and in the result
+        ensure_checkpoint_dir(rows.sparkSession)
+        series = series.checkpoint()
+
+    def folded(fold: int | Column) -> DataFrame:
+        out = _fold_series(series, windows, periods, fold)
+        return _refit_features(out, season_length, periods, columns) if features == "per_fold" else out
+
+    def train(out: DataFrame, *keys: str) -> DataFrame:
+        return out.select(ID, *keys, explode_rows(F.col("history")).alias("r")).select(ID, *keys, "r.*")
+
+    if _is_linear(spec):
+        folds = F.explode(F.sequence(F.lit(0), F.lit(windows - 1)))
+        series = series.withColumn("fold", folds)
+        every = folded(F.col("fold"))
+        matrix, names, text = _matrix(train(every, "fold"), spec, exogenous, static, keys=(ID, "fold"))
+        fits = least_squares(matrix, names, TRANSFORMED, _penalties(spec), by="fold")
+        lost = sorted(set(range(windows)) - set(fits))
+        if lost:
+            there = {r["fold"] for r in every.where(F.col("fold").isin(lost)).select("fold").distinct().collect()}
+            _report_lost(label, spec, lost, there)
+        if not fits:
+            return None
+        fitted = FittedLabel(label, spec, tuple(exogenous), tuple(static), text, dict.fromkeys(spec.models))
+        scorers = {}
+        for name in spec.models:
+            by_fold = [(F.lit(k), numbers([f[name].intercept, *f[name].coefficients])) for k, f in fits.items()]
+            values = F.element_at(F.create_map(*[c for pair in by_fold for c in pair]), F.col("fold"))
+            scorers[name] = linear_scorer(name, len(names), values)
+        known = every.where(F.col("fold").isin(list(fits)))
+        return _fold_rows(known, fitted, label, periods, static, scorers)
+
+    def fit(fold: int) -> FittedLabel | None:
+        return fit_label(train(folded(fold)), label, spec, exogenous, static, 1)
+
+    models = together({f"{label} fold {k}": (lambda k=k: fit(k)) for k in range(windows)}, at_once)
     out = None
-    for part in parts:
+    for fold in range(windows):
+        fitted = models[f"{label} fold {fold}"]
+        if fitted is None:
+            _report_lost(label, spec, [fold], set())
+            continue
+        part = _fold_rows(folded(fold), fitted, label, periods, static)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _report_lost(label: str, spec: ModelSpec, lost: Sequence[int], there: set[int]) -> None:
+    """Folds that no model could be fitted in: an error where they have rows, else a warning."""
+    if there:
+        raise ValueError(f"No series labelled {label} is long enough for the features of {spec.name}")
+    for fold in lost:
+        warnings.warn(f"{label}: no training rows in fold {fold}", stacklevel=3)
+
+
+def _fold_rows(
+    folded: DataFrame, fitted: FittedLabel, label: str, periods: int, static: Sequence[str],
+    scorers: Mapping[str, Scorer] | None = None,
+) -> DataFrame:
+    """Held-out rows of folds with their predictions."""
+    last = F.element_at("history", -1)
+    folded = folded.withColumns({"cutoff": last[TIME], **{c: last[c] for c in static}})
+    predicted = _predict_series(folded, fitted, periods, scorers=scorers)
+    pairs = explode_rows(F.arrays_zip("ahead", "y_pred"))
+    return predicted.select(ID, "cutoff", pairs.alias("r")).select(
+        ID,
+        F.col(f"r.ahead.{TIME}").alias(TIME),
+        "cutoff",
+        F.col(f"r.ahead.{TARGET}").alias(TARGET),
+        F.col("r.y_pred").alias("y_pred"),
+        F.lit(label).alias(LABEL),
+    )
+
+
 # --- Importance and persistence ---------------------------------------------------
 
 
@@ -545,7 +686,7 @@ def importance_label(spark: SparkSession, fitted: FittedLabel) -> DataFrame:
     return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)
 
 
-def _importances(model: Model) -> list[float]:
+def _importances(model: Model | LinearFit) -> list[float]:
     if hasattr(model, "featureImportances"):
         return list(model.featureImportances.toArray())
     sizes = [abs(c) for c in model.coefficients]
@@ -557,16 +698,21 @@ def save_fitted(spark: SparkSession, fitted: FittedLabel | None, path: str) -> N
     """Write models and a one-row description below ``path``."""
     if fitted is None:
         raise ValueError("An unfitted model cannot be saved")
+    linear = {n: m for n, m in fitted.models.items() if isinstance(m, LinearFit)}
     for name, model in fitted.models.items():
-        model.write().overwrite().save(f"{path}/models/{name}")
+        if name not in linear:
+            model.write().overwrite().save(f"{path}/models/{name}")
     description = {
         "label": fitted.label,
         "spec": fitted.spec.to_dict(),
         "exogenous": fitted.exogenous,
         "static": fitted.static,
         "text": fitted.text,
+        "linear": {n: asdict(m) for n, m in linear.items()},
         "classes": {
-            name: f"{type(m).__module__}.{type(m).__name__}" for name, m in fitted.models.items()
+            name: f"{type(m).__module__}.{type(m).__name__}"
+            for name, m in fitted.models.items()
+            if name not in linear
         },
     }
     schema = T.StructType([T.StructField("value", T.StringType())])
@@ -581,9 +727,12 @@ def load_fitted(spark: SparkSession, path: str) -> FittedLabel:
         name: _model_class(kind).load(f"{path}/models/{name}")
         for name, kind in data["classes"].items()
     }
+    linear = {n: LinearFit(tuple(m["coefficients"]), m["intercept"]) for n, m in data["linear"].items()}
+    spec = ModelSpec.from_dict(data["spec"])
+    models = {name: (models | linear)[name] for name in spec.models}
     return FittedLabel(
         data["label"],
-        ModelSpec.from_dict(data["spec"]),
+        spec,
         tuple(data["exogenous"]),
         tuple(data["static"]),
         tuple(data["text"]),

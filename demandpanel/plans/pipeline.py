@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 from demandpanel.functions.columns import ID, LABEL, LABELS, TIME, require_columns, require_text
 from demandpanel.functions.frequency import Frequency
 from demandpanel.functions.spec import ModelSpec
-from demandpanel.operators.calendar import date_bounds, future_calendar
+from demandpanel.operators.calendar import calendar_end, date_bounds, future_calendar
 from demandpanel.operators.decompose import FEATURES, add_features, mstl_features, mstl_future
 from demandpanel.operators.forecast import (
     BACKTEST_SCHEMA, FORECAST_SCHEMA, IMPORTANCE_SCHEMA, FittedLabel,
-    backtest_label, fit_label, forecast_label, forecast_label_ahead, importance_label,
+    backtest_label, fit_label, forecast_label, forecast_label_ahead, importance_label, together,
 )
-from demandpanel.operators.prepare import prepare
+from demandpanel.operators.prepare import Classifier, CleaningObservation, prepare
 from demandpanel.plans.policies import POLICIES, spec_for
 from demandpanel.sources.tables import (
-    append_forecasts, inbound, read_table, read_training, require_rows, standardise,
-    unique_keys, write_training,
+    inbound, read_future, read_table, read_training, replace_forecasts, require_rows,
+    standardise, unique_keys, write_future, write_training,
 )
 
 
@@ -110,21 +110,53 @@ def build_training_table(
     mode: str = "strict",
     partition_by_label: bool = False,
     buckets: int | None = None,
+    features: Sequence[Callable[[DataFrame], DataFrame]] = (),
+    report: CleaningObservation | None = None,
+    classify: Classifier | None = None,
 ) -> DataFrame:
-    """Read raw series, prepare and decompose them, overwrite the training table, return it."""
+    """Read raw series, prepare and decompose them, overwrite the training table, return it.
+
+    ``features`` add further exogenous columns; trend and seasonal are computed where ``exogenous``
+    names them. ``report`` gathers the counts of the cleaning while the table is written.
+    """
     raw = read_table(spark, source)
     rows = standardise(raw, id_column, time_column, target_column, static, mode)
     prepared = prepare(
         unique_keys(rows, on_duplicate), freq, inactivity, min_records, list(static or []),
-        bounds=date_bounds(rows),
+        bounds=date_bounds(rows), report=report, classify=classify,
     )
+    decomposed = training_frame(prepared, season_length) if set(FEATURES) & set(exogenous) else prepared
     write_training(
-        training_frame(prepared, season_length), table, exogenous, static,
-        partition_by_label, buckets,
+        add_features(decomposed, features), table, exogenous, static, partition_by_label, buckets
     )
     return read_training(spark, table, exogenous, static)
 
 
+def build_future_table(
+    spark: SparkSession,
+    training: str,
+    table: str,
+    freq: str | Frequency,
+    season_length: int,
+    horizon: int,
+    exogenous: Sequence[str] = FEATURES,
+    features: Sequence[Callable[[DataFrame], DataFrame]] = (),
+    buckets: int | None = None,
+) -> DataFrame:
+    """Overwrite the table of the periods that follow a training table, return it.
+
+    ``features`` are those that the training table was built with. Give both tables the same
+    ``buckets``: ``forecast_table`` then joins them without a shuffle.
+    """
+    history = read_training(spark, training, ())
+    if set(FEATURES) & set(exogenous):
+        coming = mstl_future(history, season_length, horizon, freq)
+    else:
+        coming = future_calendar(history, horizon, freq)
+    write_future(add_features(coming, features), table, exogenous, buckets)
+    return read_future(spark, table, exogenous)
+
+
 def train_test_future(
     spark: SparkSession,
     source: str,
@@ -139,26 +171,28 @@ def train_test_future(
     min_records: int,
     static: Sequence[str] | None = None,
     on_duplicate: str = "error",
-    check: bool = False,
+    check: bool = True,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Training rows with features, untouched test rows, and the future after training.
 
     The date split is a filter on the raw column, so each side scans only its own part
-    of the files where statistics allow it.
+    of the files where statistics allow it. With ``check`` a side without rows raises when it is read.
     """
     raw = read_table(spark, source)
     side = partial(standardise, raw, id_column, time_column, target_column, static)
     before, after = side(until=split_date), side(after=split_date)
+    bounds = date_bounds(before)
     if check:
-        require_rows(train=before, test=after)
+        before, after = require_rows(before, "train"), require_rows(after, "test")
     prepared = prepare(
         unique_keys(before, on_duplicate), freq, inactivity, min_records, list(static or []),
-        bounds=date_bounds(before),
+        bounds=bounds,
     )
     return (
         training_frame(prepared, season_length),
         unique_keys(after, on_duplicate),
-        future_frame(prepared, horizon, freq, season_length),
+        # Every filled series ends with the calendar, so the panel is not planned again for its end.
+        future_frame(prepared, horizon, freq, season_length, last=calendar_end(bounds, freq)),
     )
 
 
@@ -183,16 +217,21 @@ def fit_all(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
+    at_once: int = 4,
 ) -> dict[str, FittedLabel]:
-    """Fit every label that has rows, one label at a time to bound what is cached."""
-    fitted = {}
-    for label in LABELS:
+    """Fit every label that has rows; ``at_once`` labels, and models of a label, side by side.
+
+    A boosted tree is a chain of short jobs that leave a cluster idle between them, so fits fill
+    each other's gaps. Each label's matrix is kept while it is fitted: 1 bounds that to one.
+    """
+
+    def fit(label: str) -> FittedLabel | None:
         spec = policies[label] if label in policies else spec_for(label)
-        rows = _label_rows(training, label)
-        model = fit_label(rows, label, spec, exogenous, list(static or []))
-        if model is not None:
-            fitted[label] = model
-    return fitted
+        return fit_label(_label_rows(training, label), label, spec, exogenous, list(static or []), at_once)
+
+    labels = dict.fromkeys([*LABELS, *policies])
+    fitted = together({label: (lambda label=label: fit(label)) for label in labels}, at_once)
+    return {label: model for label, model in fitted.items() if model is not None}
 
 
 def forecast_all(
@@ -237,14 +276,21 @@ def forecast_table(
     exogenous: Sequence[str] = FEATURES,
     static: Sequence[str] | None = None,
     policies: Mapping[str, ModelSpec] = POLICIES,
+    future: str | DataFrame | None = None,
 ) -> DataFrame:
-    """Forecast a stored training table and append to the forecast table; returns that version."""
+    """Forecast a stored training table as one version of the forecast table; returns that version.
+
+    Forecasts that the version had are replaced, so the job can be run again. ``future`` is a
+    table or frame of the coming periods with the exogenous columns (``build_future_table``).
+    """
     require_text("version", version)
     training = read_training(spark, source, exogenous, static)
+    if isinstance(future, str):
+        future = read_future(spark, future, exogenous)
     forecasts = forecast_all(
-        training, freq, season_length, horizon, exogenous, static, policies
+        training, freq, season_length, horizon, exogenous, static, policies, future=future
     )
-    append_forecasts(forecasts, version, output)
+    replace_forecasts(forecasts, version, output)
     return spark.table(output).where(F.col("version") == version)
 
 
@@ -257,18 +303,20 @@ def backtest_all(
     policies: Mapping[str, ModelSpec] = POLICIES,
     features: str = "as_given",
     season_length: int | None = None,
+    at_once: int = 4,
 ) -> DataFrame:
     """``unique_id, ds, cutoff, y, y_pred, classification`` over all labels and folds."""
-    parts = []
-    for label in LABELS:
+
+    def backtest(label: str) -> DataFrame | None:
         spec = policies[label] if label in policies else spec_for(label)
-        part = backtest_label(
+        return backtest_label(
             _label_rows(training, label), label, spec, windows, periods, exogenous,
-            list(static or []), features, season_length,
+            list(static or []), features, season_length, at_once,
         )
-        if part is not None:
-            parts.append(part)
-    return _union(training.sparkSession, parts, BACKTEST_SCHEMA)
+
+    labels = dict.fromkeys([*LABELS, *policies])
+    parts = together({label: (lambda label=label: backtest(label)) for label in labels}, at_once)
+    return _union(training.sparkSession, [p for p in parts.values() if p is not None], BACKTEST_SCHEMA)
 
 
 def importance_all(

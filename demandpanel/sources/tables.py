@@ -148,25 +148,29 @@ def inbound(df: DataFrame) -> DataFrame:
 
 
 def split_at(
-    df: DataFrame, date: datetime.date | str, check: bool = False
+    df: DataFrame, date: datetime.date | str, check: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows up to and including the date, and rows after it.
-
-    ``check`` runs a small job per side and raises where one is empty.
-    """
+    """Rows up to and including the date, and rows after it; with ``check`` a side without rows
+    raises when it is read."""
     require_columns(df, [TIME])
     train = df.where(F.col(TIME) <= _day(date))
     test = df.where(F.col(TIME) > _day(date))
     if check:
-        require_rows(train=train, test=test)
+        return require_rows(train, "train"), require_rows(test, "test")
     return train, test
 
 
-def require_rows(**frames: DataFrame) -> None:
-    """Raise where a frame has no rows (one small job each)."""
-    empty = [name for name, frame in frames.items() if frame.isEmpty()]
-    if empty:
-        raise ValueError(f"No rows in: {empty}")
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    """The same rows; reading them raises where there are none.
+
+    The check is part of the plan: an aggregate over at most one row a partition, whose filter lets nothing
+    through, and raises if it has counted nothing. Building it runs no job.
+    """
+    problem = F.raise_error(F.lit(f"No rows in: {name}")).cast("boolean")
+    counted = df.limit(1).agg(F.count(F.lit(1)).alias("_n"))
+    # In a filter, which no reader of fewer columns leaves out.
+    none = counted.where(F.when(F.col("_n") == 0, problem).otherwise(F.lit(False)))
+    return df.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]))
 
 
 def dataset_bounds(**frames: DataFrame) -> DataFrame:
@@ -236,15 +240,71 @@ def write_training(
     writer.saveAsTable(table)
 
 
-def append_forecasts(df: DataFrame, version: str, table: str) -> None:
-    """Append forecasts, stamped with the time of writing and a version."""
+def write_future(
+    df: DataFrame, table: str, exogenous: Sequence[str], buckets: int | None = None
+) -> None:
+    """Overwrite the table of coming periods: ``unique_id, ds`` and the exogenous columns.
+
+    With as many ``buckets`` as the training table, forecasts join the two without a shuffle.
+    """
     require_text("table", table)
+    require_columns(df, [ID, TIME, *exogenous])
+    rows = df.select(F.col(ID).cast("string").alias(ID), F.to_date(TIME).alias(TIME), *exogenous)
+    if buckets:
+        rows = rows.repartition(buckets, ID)
+    writer: DataFrameWriter = rows.write.mode("overwrite")
+    if buckets:
+        writer = writer.bucketBy(buckets, ID).sortBy(ID, TIME)
+    writer.saveAsTable(table)
+
+
+def read_future(spark: SparkSession, source: str, exogenous: Sequence[str]) -> DataFrame:
+    table = read_table(spark, source)
+    require_columns(table, [ID, TIME, *exogenous])
+    return table.select(ID, TIME, *exogenous)
+
+
+def _stamped(df: DataFrame, version: str) -> DataFrame:
     require_columns(df, [ID, TIME, "y_pred"])
-    rows = df.select(
+    return df.select(
         F.col(ID).cast("string").alias(ID),
         F.to_date(TIME).alias(TIME),
         F.col("y_pred").cast("double").alias("y_pred"),
         F.current_timestamp().alias("process_date"),
         F.lit(version).cast("string").alias("version"),
     )
-    rows.write.mode("append").saveAsTable(table)
+
+
+def append_forecasts(df: DataFrame, version: str, table: str) -> None:
+    """Append forecasts, stamped with the time of writing and a version; what the version has stays."""
+    require_text("table", table)
+    rows = _stamped(df, version)
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        rows.select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        rows.write.partitionBy("version").saveAsTable(table)
+
+
+def replace_forecasts(df: DataFrame, version: str, table: str) -> None:
+    """Write forecasts as the only ones of their version; other versions stay as they are.
+
+    The table is partitioned by version and one partition is overwritten, also by no rows, so
+    a job that is run again, or was broken off, leaves one result. ``df`` must not read that version.
+    """
+    require_text("table", table)
+    require_text("version", version)
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        append_forecasts(df, version, table)
+        return
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts != ["version"]:
+        raise ValueError(f"{table} is not partitioned by version alone, so none can be replaced")
+    columns = [c for c in spark.table(table).columns if c != "version"]
+    spark.sql(
+        "INSERT OVERWRITE TABLE IDENTIFIER(:table) PARTITION (version = :version) "
+        f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}",
+        args={"table": table, "version": version},
+        rows=_stamped(df, version),
+    )

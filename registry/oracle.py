@@ -43,6 +43,16 @@ def filled(panel: str, calendar: str | None = None, month_end: bool = False) ->
     }
 
 
+def _month_anchors(*dates: str) -> str:
+    """Calendar of dates that follow from a month's first day ``m``, inside the bounds."""
+    months = (
+        "SELECT CAST(unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP), "
+        "CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS m FROM b"
+    )
+    every = " UNION ALL ".join(f"SELECT CAST({d} AS DATE) AS ds FROM ({months})" for d in dates)
+    return f"SELECT ds FROM ({every}) WHERE ds BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b)"
+
+
 def _trim(source: str, condition: str) -> str:
     return (
         f"SELECT unique_id, ds, y FROM (SELECT *, min(CASE WHEN {condition} THEN ds END) "
@@ -219,12 +229,34 @@ def _fold_sql(panel: str, windows: int, periods: int) -> str:
     )
 
 
-def _linear(history: dict[str, str], steps: int) -> dict[str, str]:
+def _linear(
+    history: dict[str, str], steps: int, known: str = "0.0", hi: str = "CAST(NULL AS DATE)"
+) -> dict[str, str]:
     """Least squares on the last transformed value by fold and label, and its recursion.
 
     ``history`` ends in a table ``hist`` of ``fold, unique_id, ds, y, classification``.
     The last table, ``predicted``, has ``fold, unique_id, classification, step, y_pred``.
+    ``known``, SQL on ``ds``, is a second feature of daily rows that end at ``hi``.
     """
+    if known != "0.0":
+        both = "covar_pop(before, x)"
+        det = f"(var_pop(before) * var_pop(x) - {both} * {both})"
+        slopes = (
+            f"(covar_pop(before, z) * var_pop(x) - covar_pop(x, z) * {both}) / {det} AS b, "
+            f"(covar_pop(x, z) * var_pop(before) - covar_pop(before, z) * {both}) / {det} AS c, "
+            "avg(z) AS mz, avg(before) AS mb, avg(x) AS mx"
+        )
+        fits = (
+            "SELECT fold, classification, b, c, mz - b * mb - c * mx AS a FROM "
+            f"(SELECT fold, classification, {slopes} FROM (SELECT *, {known} AS x FROM matrix) "
+            "WHERE z IS NOT NULL AND before IS NOT NULL GROUP BY 1, 2)"
+        )
+    else:
+        fits = (
+            "SELECT fold, classification, regr_slope(z, before) AS b, regr_intercept(z, before) AS a, "
+            "0.0 AS c FROM matrix WHERE z IS NOT NULL AND before IS NOT NULL GROUP BY 1, 2"
+        )
+    ahead = known.replace("ds", "(last_day + step + 1)")
     series = "PARTITION BY fold, unique_id"
     scaled = "classification IN ('Erratic', 'Lumpy')"
     return {
@@ -238,18 +270,15 @@ def _linear(history: dict[str, str], steps: int) -> dict[str, str]:
         ),
         "zs": "SELECT *, (base - centre) / scale AS z FROM moments",
         "matrix": f"SELECT *, lag(z) OVER ({series} ORDER BY ds) AS before FROM zs",
-        "fits": (
-            "SELECT fold, classification, regr_slope(z, before) AS b, regr_intercept(z, before) AS a "
-            "FROM matrix WHERE z IS NOT NULL AND before IS NOT NULL GROUP BY 1, 2"
-        ),
+        "fits": fits,
         "ends": f"SELECT *, row_number() OVER ({series} ORDER BY ds DESC) AS back FROM zs",
         "predicted": (
-            "SELECT fold, unique_id, classification, 0 AS step, z, y AS y_pred, centre, scale, a, b "
-            "FROM ends JOIN fits USING (fold, classification) WHERE back = 1 UNION ALL "
-            "SELECT fold, unique_id, classification, step + 1, a + b * z, "
-            "(a + b * z) * scale + centre + "
-            "CASE WHEN classification = 'Erratic' THEN 0.0 ELSE y_pred END, centre, scale, a, b "
-            f"FROM predicted WHERE step < {steps}"
+            "SELECT fold, unique_id, classification, 0 AS step, z, y AS y_pred, centre, scale, a, b, c, "
+            f"{hi} AS last_day FROM ends JOIN fits USING (fold, classification) WHERE back = 1 UNION ALL "
+            f"SELECT fold, unique_id, classification, step + 1, a + b * z + c * {ahead}, "
+            f"(a + b * z + c * {ahead}) * scale + centre + "
+            "CASE WHEN classification = 'Erratic' THEN 0.0 ELSE y_pred END, centre, scale, a, b, c, "
+            f"last_day FROM predicted WHERE step < {steps}"
         ),
     }
 
@@ -272,6 +301,33 @@ def _forecast_sql(panel: str, horizon: int, *extra: str) -> str:
     return _recursive(ctes, f"SELECT {columns} FROM predicted CROSS JOIN final WHERE step > 0")
 
 
+def _known_future_sql(panel: str, horizon: int) -> str:
+    """Daily forecasts with the sine of the week as a second feature."""
+    ctes = {**prepared(panel), "cal": _calendar("1 DAY")}
+    ctes["hist"] = "SELECT 0 AS fold, * FROM prepared"
+    week = "sin(2 * pi() * CAST((ds - DATE '1970-01-01') % 7 AS DOUBLE) / 7)"
+    ctes = _linear(ctes, horizon, week, "(SELECT max(ds) FROM prepared)")
+    return _recursive(
+        ctes,
+        f"SELECT unique_id, last_day + step AS ds, {_cents('y_pred', 'y_pred')} "
+        "FROM predicted WHERE step > 0",
+    )
+
+
+def _rerun_sql(panel: str, horizons: dict[str, int]) -> str:
+    ctes = _linear(
+        {**prepared(panel), "hist": "SELECT 0 AS fold, * FROM prepared"}, max(horizons.values())
+    )
+    ctes["final"] = "SELECT max(ds) AS hi FROM prepared"
+    versions = ", ".join(f"('{v}', {n})" for v, n in horizons.items())
+    return _recursive(
+        ctes,
+        f"SELECT unique_id, CAST(hi + to_months(step) AS DATE) AS ds, {_cents('y_pred', 'y_pred')}, "
+        f"version FROM predicted CROSS JOIN final CROSS JOIN (VALUES {versions}) t(version, n) "
+        "WHERE step BETWEEN 1 AND n",
+    )
+
+
 def _backtest_sql(panel: str, windows: int, periods: int) -> str:
     ctes = {
         **prepared(panel),
@@ -330,6 +386,10 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(o_custkey AS VARCHAR) AS unique_id, CAST(o_orderdate AS DATE) AS ds, "
         "sum(TRY_CAST(left(o_orderpriority, 1) AS DOUBLE)) AS y FROM orders GROUP BY 1, 2"
     ),
+    "read_series_unreadable": (
+        "SELECT CAST(o_custkey AS VARCHAR) AS unique_id, CAST(o_orderdate AS DATE) AS ds, "
+        "sum(CASE WHEN o_orderstatus = 'O' THEN 7.0 END) AS y FROM orders GROUP BY 1, 2"
+    ),
     "split_train": _with({"p": PANEL["part_month"]}, _show("p") + f" WHERE ds <= DATE '{SPLIT}'"),
     "split_test": _with({"p": PANEL["part_month"]}, _show("p") + f" WHERE ds > DATE '{SPLIT}'"),
     "dedupe_keys": (
@@ -369,6 +429,20 @@ ORACLE: dict[str, str] = {
     "fill_calendar_two_months": _with(
         filled("nation_segment", _calendar("2 MONTH")), _show("filled")
     ),
+    "fill_calendar_business_month": _with(
+        filled("supplier_day", _month_anchors("m + CASE isodow(m) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END")),
+        _show("filled"),
+    ),
+    "fill_calendar_business_month_end": _with(
+        filled(
+            "supplier_day",
+            _month_anchors("last_day(m) - CAST(greatest(isodow(last_day(m)) - 5, 0) AS INTEGER)"),
+        ),
+        _show("filled"),
+    ),
+    "fill_calendar_half_month": _with(
+        filled("supplier_day", _month_anchors("m", "m + 14")), _show("filled")
+    ),
     "fill_calendar_static": _with(
         {
             "p": PANEL["part_month_static"],
@@ -404,6 +478,11 @@ ORACLE: dict[str, str] = {
         "SELECT *, series_before - series_after AS series_dropped, "
         "rows_before - rows_after AS rows_dropped FROM n",
     ),
+    "cleaning_report_observed": _with(
+        {**cleaned("part_returns_nullable"), "n": _CLEAN_COUNTS},
+        "SELECT *, series_before - series_after AS series_dropped, "
+        "rows_before - rows_after AS rows_dropped FROM n",
+    ),
     "demand_metrics": _with(
         labelled("nation_segment"),
         f"SELECT unique_id, classification, {_r('adi', 'adi')}, {_r('cv2', 'cv2')} FROM metrics",
@@ -505,6 +584,21 @@ ORACLE: dict[str, str] = {
             "rolling_mean_lag12_w12": _rolling(12, 12, 1),
         },
     ),
+    "harmonic_features": _with(
+        {
+            "p": PANEL["part_month"],
+            "placed": "SELECT *, year(ds) * 12 + month(ds) - 1 AS k FROM p",
+        },
+        f"SELECT unique_id, ds, {_Y}, "
+        + ", ".join(
+            _r(f"{wave}(2 * pi() * {order} * k / {length})", f"{wave}_{length}_{order}")
+            for length, order, wave in [
+                (12, 1, "sin"), (12, 1, "cos"), (12, 2, "sin"), (12, 2, "cos"),
+                (4, 1, "sin"), (4, 1, "cos"), (4, 2, "cos"),
+            ]
+        )
+        + " FROM placed",
+    ),
     "ensemble_mean": _with(
         {
             "p": filled("part_returns_nullable")["p"],
@@ -549,11 +643,21 @@ ORACLE: dict[str, str] = {
     "layout_by_series": _with({"p": PANEL["part_month"]}, _show("p")),
     "forecast_all": _forecast_sql("nation_segment", 6),
     "forecast_parts": _forecast_sql("part_month", 6),
+    "forecast_parts_long": _forecast_sql("part_month", 60),
     "forecast_own_future": _forecast_sql("supplier_month", 6),
+    "forecast_known_future": _known_future_sql("supplier_day", 14),
+    "forecast_rerun": _rerun_sql("part_month", {"v1": 3, "v2": 2}),
     "forecast_table": _forecast_sql("nation_segment", 3, "'v1' AS version"),
     "model_save_load": _forecast_sql("nation_segment", 2, _cents("y_pred", "y_pred_loaded")),
     "backtest_all": _backtest_sql("nation_segment", 2, 3),
+    "model_save_load_parts": _forecast_sql("part_month", 2, _cents("y_pred", "y_pred_loaded")),
     "backtest_parts": _backtest_sql("part_month", 2, 3),
+    "backtest_parts_folds": _backtest_sql("part_month", 6, 2),
+    "importance_parts": _with(
+        prepared("part_month"),
+        "SELECT DISTINCT classification, 'linear' AS model, 'lag1' AS feature_name, "
+        "CAST(1 AS DOUBLE) AS importance FROM prepared",
+    ),
     "importance_all": _with(
         prepared("nation_segment"),
         "SELECT DISTINCT classification, 'linear' AS model, 'lag1' AS feature_name, "

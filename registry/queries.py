@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from demandpanel.functions.columns import by_series, in_time, row_mean
 from demandpanel.functions.spec import LinearModel, ModelSpec
 from demandpanel.operators import calendar as cal
-from demandpanel.operators import classify, clean, decompose, features, forecast, impute
+from demandpanel.operators import (
+    classify, clean, decompose, features, forecast, harmonics, impute, prepare,
+)
+from demandpanel.operators.prepare import CleaningObservation
 from demandpanel.plans import pipeline
 from demandpanel.plans.policies import POLICIES, spec_for
 from demandpanel.sources import tables
@@ -111,6 +114,14 @@ def read_series_permissive(spark: SparkSession, sf: str) -> DataFrame:
     return tables.unique_keys(rows, "sum")
 
 
+def read_series_unreadable(spark: SparkSession, sf: str) -> DataFrame:
+    """Open orders have a number, others a letter, which is no target."""
+    orders = panels.table(spark, sf, "orders")
+    marked = orders.withColumn("mark", F.translate("o_orderstatus", "O", "7"))
+    rows = tables.standardise(marked, "o_custkey", "o_orderdate", "mark", mode="permissive")
+    return tables.unique_keys(rows, "sum")
+
+
 def _split(side: int) -> Query:
     return lambda spark, sf: _show(tables.split_at(panels.part_month(spark, sf), SPLIT)[side])
 
@@ -137,6 +148,15 @@ def cleaning_report(spark: SparkSession, sf: str) -> DataFrame:
     return clean.cleaning_report(filled, clean.clean_series(filled, INACTIVITY, MIN_RECORDS))
 
 
+def cleaning_report_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of the cleaning, gathered while the prepared panel is written."""
+    report = CleaningObservation()
+    panel = panels.part_returns_nullable(spark, sf)
+    rows = prepare.prepare(panel, "MS", INACTIVITY, MIN_RECORDS, report=report)
+    _store(rows, [])
+    return report.frame(spark)
+
+
 def demand_metrics(spark: SparkSession, sf: str) -> DataFrame:
     metrics = classify.demand_metrics(cleaned(spark, sf, panels.nation_segment))
     return metrics.select("unique_id", "classification", _r("adi"), _r("cv2"))
@@ -196,6 +216,15 @@ def _lag_features(label: str) -> Query:
     return query
 
 
+SEASONS = {12: 2, 4: 2}
+
+
+def harmonic_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Sine and cosine of two seasons, on the months of the panel."""
+    out = harmonics.harmonic_features("MS", SEASONS)(panels.part_month(spark, sf))
+    return _show(out, *[_r(c) for c in harmonics.harmonic_names(SEASONS)])
+
+
 def mstl_train_features(spark: SparkSession, sf: str) -> DataFrame:
     return training(spark, sf)
 
@@ -256,15 +285,19 @@ def forecast_own_future(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def importance_all(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stored(spark, sf, panels.nation_segment)
-    out = pipeline.importance_all(rows, (), policies=LINEAR)
-    return out.withColumn("importance", F.round("importance", 6))
+def _importance(panel: Callable) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        out = pipeline.importance_all(_stored(spark, sf, panel), (), policies=LINEAR)
+        return out.withColumn("importance", F.round("importance", 6))
+
+    return query
 
 
-def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
+def model_save_load(
+    spark: SparkSession, sf: str, panel: Callable = panels.nation_segment
+) -> DataFrame:
     """Forecasts of the fitted and of the reloaded models side by side."""
-    rows = _stored(spark, sf, panels.nation_segment)
+    rows = _stored(spark, sf, panel)
     fitted = pipeline.fit_all(rows, (), policies=LINEAR)
     folder = f"{_shared_folder(spark)}/models-{uuid.uuid4().hex}"
     loaded = {}
@@ -286,6 +319,38 @@ def forecast_table(spark: SparkSession, sf: str) -> DataFrame:
     return _money(stored.drop("process_date"))
 
 
+def forecast_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """All versions of a forecast table after a version was run twice, at first with a longer horizon."""
+    source = _store(prepared(spark, sf, panels.part_month), [])
+    output = f"forecast_{uuid.uuid4().hex}"
+    for version, horizon in (("v1", 4), ("v2", 2), ("v1", 3)):
+        pipeline.forecast_table(spark, source, output, version, "MS", 12, horizon, (), policies=LINEAR)
+    return _money(spark.table(output).drop("process_date"))
+
+
+WEEK = {7: 1}
+
+
+def forecast_known_future(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw order lines to forecasts with a future column that the user brings: the sine of the week."""
+    week, name = harmonics.harmonic_features("D", WEEK), harmonics.harmonic_names(WEEK)[0]
+    training, future = (f"{kind}_{uuid.uuid4().hex}" for kind in ("training", "future"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pipeline.build_training_table(
+        spark, f"{sf}/lineitem.parquet", training, "l_suppkey", "l_shipdate", "l_quantity", "D", 7,
+        INACTIVITY, MIN_RECORDS, [name], on_duplicate="sum", partition_by_label=True,
+        buckets=buckets, features=[week],
+    )
+    pipeline.build_future_table(
+        spark, training, future, "D", 7, 14, [name], features=[week], buckets=buckets
+    )
+    stored = pipeline.forecast_table(
+        spark, training, f"forecast_{uuid.uuid4().hex}", "v1", "D", 7, 14, [name],
+        policies=LINEAR, future=future,
+    )
+    return _money(stored.select("unique_id", "ds", "y_pred"))
+
+
 def backtest_per_fold(spark: SparkSession, sf: str) -> DataFrame:
     """Trend and seasonal recomputed from each fold's own history, and used by the model."""
     source = _store(training(spark, sf), decompose.FEATURES)
@@ -371,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "read_series_panel": read_series_panel,
     "read_series_first": read_series_first,
     "read_series_permissive": read_series_permissive,
+    "read_series_unreadable": read_series_unreadable,
     "split_train": _split(0),
     "split_test": _split(1),
     "dedupe_keys": dedupe_keys,
@@ -384,6 +450,11 @@ QUERIES: dict[str, Query] = {
     "fill_calendar_workday": _on_panel(panels.supplier_day, partial(_fill, freq="B")),
     "fill_calendar_quarter": _on_panel(panels.nation_segment, partial(_fill, freq="QS")),
     "fill_calendar_two_months": _on_panel(panels.nation_segment, partial(_fill, freq="2MS")),
+    "fill_calendar_business_month": _on_panel(panels.supplier_day, partial(_fill, freq="BMS")),
+    "fill_calendar_business_month_end": _on_panel(
+        panels.supplier_day, partial(_fill, freq="BME")
+    ),
+    "fill_calendar_half_month": _on_panel(panels.supplier_day, partial(_fill, freq="SMS")),
     "fill_calendar_static": _on_panel(
         panels.part_month_static,
         partial(_fill, freq="MS", static=["p_brand", "p_size"]),
@@ -405,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "clean_all": lambda spark, sf: _show(cleaned(spark, sf, panels.customer_refunds)),
     "clean_steps": _on_panel(panels.part_returns_nullable, partial(clean.clean, steps=_steps)),
     "cleaning_report": cleaning_report,
+    "cleaning_report_observed": cleaning_report_observed,
     "demand_metrics": demand_metrics,
     "classify_demand": lambda spark, sf: _show(
         classify.classify_demand(cleaned(spark, sf, panels.nation_segment)), "classification"
@@ -441,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "lag_features_erratic": _lag_features("Erratic"),
     "lag_features_lumpy": _lag_features("Lumpy"),
     "lag_features_intermittent": _lag_features("Intermittent"),
+    "harmonic_features": harmonic_features,
     "mstl_train_features": mstl_train_features,
     "mstl_future_features": mstl_future_features,
     "future_features": future_features,
@@ -452,11 +525,17 @@ QUERIES: dict[str, Query] = {
     "layout_by_series": _on_panel(panels.part_month, pipeline.layout_by_series),
     "forecast_all": _forecast(panels.nation_segment, 6),
     "forecast_parts": _forecast(panels.part_month, 6),
+    "forecast_parts_long": _forecast(panels.part_month, 60),
     "forecast_own_future": forecast_own_future,
+    "forecast_known_future": forecast_known_future,
+    "forecast_rerun": forecast_rerun,
     "backtest_all": _backtest(panels.nation_segment, 2, 3),
     "backtest_parts": _backtest(panels.part_month, 2, 3),
-    "importance_all": importance_all,
+    "backtest_parts_folds": _backtest(panels.part_month, 6, 2),
+    "importance_all": _importance(panels.nation_segment),
+    "importance_parts": _importance(panels.part_month),
     "model_save_load": model_save_load,
+    "model_save_load_parts": partial(model_save_load, panel=panels.part_month),
     "load_for_forecast": load_for_forecast,
     "build_training_table": build_training_table,
     "forecast_table": forecast_table,

@@ -13,7 +13,8 @@ from demandpanel.operators.calendar import (
 
 ALIASES = [
     "D", "2D", "B", "3B", "W", "2W-MON", "W-WED", "MS", "2MS", "ME", "3ME", "QS", "QE",
-    "QS-FEB", "2QE-JAN", "YS", "YE", "YE-MAR", "2YS-APR",
+    "QS-FEB", "2QE-JAN", "YS", "YE", "YE-MAR", "2YS-APR", "BMS", "2BMS", "BME", "3BME", "BQS",
+    "BQE-JAN", "BYS-MAR", "BYE", "SMS", "SME", "3SMS", "SMS-20", "2SME-7",
 ]
 RANGES = [("1969-11-15", "1972-03-01"), ("2024-02-29", "2026-12-31"), ("2023-01-01", "2023-12-31")]
 
@@ -27,7 +28,7 @@ def test_calendar_equals_pandas_date_range(spark, alias):
         assert [r.ds for r in calendar(spark, alias, lo, hi).orderBy("ds").collect()] == expected
 
 
-@pytest.mark.parametrize("alias", ["D", "2D", "B", "W", "2W-MON", "MS", "ME", "3MS", "QE", "YS"])
+@pytest.mark.parametrize("alias", ["D", "2D", "B", "W", "2W-MON", "MS", "ME", "3MS", "QE", "YS", "BMS", "BME", "SMS", "SME"])
 @pytest.mark.parametrize("last", ["2024-01-31", "2024-01-15"])
 def test_future_calendar_is_the_anchors_after_the_last_date(spark, panel, alias, last):
     future = future_calendar(panel({"a": [(last, 1)]}), 4, alias)
@@ -36,7 +37,7 @@ def test_future_calendar_is_the_anchors_after_the_last_date(spark, panel, alias,
     assert got == [d.date() for d in dates if d > pd.Timestamp(last)][:4]
 
 
-@pytest.mark.parametrize("bad", ["h", "min", "H", "", "0D", "D-MON", "W-JAN", "BMS", None])
+@pytest.mark.parametrize("bad", ["h", "min", "H", "", "0D", "D-MON", "W-JAN", "BMS-JAN", "SMS-JAN", "SMS-1", "SME-28", "0SMS", None])
 def test_unknown_frequencies_raise(bad):
     with pytest.raises(ValueError):
         parse_frequency(bad)

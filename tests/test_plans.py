@@ -46,6 +46,11 @@ def test_building_plans_runs_no_job(spark, stored):
     classify.class_dispersion(classify.demand_metrics(stored))
     tables.dataset_bounds(a=stored, b=prepared)
     forecast.cv_folds(prepared, 2, 3)
+    tables.split_at(stored, "1999-06-30")
+    for frame in pipeline.train_test_future(
+        spark, "stored_panel", "unique_id", "ds", "y", "1999-06-30", 6, "MS", 12, 3, 8
+    ):
+        plan(frame)
     assert jobs(spark) == before
 
 
@@ -101,6 +106,77 @@ def test_bucketed_training_table_needs_no_shuffle(spark, sf):
         assert "Join" not in plan(out)
 
 
+def test_futures_plan_the_panel_once(spark, stored):
+    """The future after the training rows reads them once, and their bounds, but does not prepare twice."""
+    _, _, future = pipeline.train_test_future(
+        spark, "stored_panel", "unique_id", "ds", "y", "1999-06-30", 6, "MS", 12, 3, 8, check=False
+    )
+    text = plan(future)
+    assert text.count("ArrowEvalPython") == 1
+    assert text.split("Subqueries")[0].count("FileScan") - text.count("ReusedSubquery") <= 3
+
+
+def test_bucketed_futures_are_joined_without_a_shuffle(spark, sf):
+    from demandpanel.functions.spec import LinearModel
+    from demandpanel.operators.harmonics import harmonic_features, harmonic_names
+
+    year, names = harmonic_features("MS", {12: 2}), harmonic_names({12: 2})
+    panels.nation_segment(spark, sf).write.mode("overwrite").saveAsTable("raw_panel")
+    training = pipeline.build_training_table(
+        spark, "raw_panel", "known_training", "unique_id", "ds", "y", "MS", 12, 3, 8, names,
+        buckets=4, features=[year],
+    )
+    future = pipeline.build_future_table(
+        spark, "known_training", "known_future", "MS", 12, 6, names, features=[year], buckets=4
+    )
+    assert future.columns == ["unique_id", "ds", *names] and "ArrowEvalPython" not in plan(future)
+    spec = {k: replace(s, models={"l": LinearModel()}) for k, s in POLICIES.items()}
+    fitted = pipeline.fit_all(training, names, policies=spec)
+    out = pipeline.forecast_all(training, "MS", 12, 6, names, fitted=fitted, future=future)
+    assert "Join" in plan(out) and hash_exchanges(out) == 0
+    assert out.count() == 6 * training.select("unique_id").distinct().count()
+
+
+def test_harmonics_go_on_into_the_future(spark, panel):
+    import math
+
+    from demandpanel.operators.harmonics import harmonic_features, harmonic_names
+
+    df = panel({"a": [1] * 30})
+    out = harmonic_features("MS", {12: 6, 5: 2})(df).orderBy("ds").collect()
+    names = harmonic_names({12: 6, 5: 2})
+    assert len(names) == 11 + 4 and "sin_12_6" not in names
+    for k, row in enumerate(out):
+        index = row.ds.year * 12 + row.ds.month - 1
+        for name in names:
+            wave, length, order = name.split("_")
+            want = getattr(math, wave)(2 * math.pi * int(order) * index / int(length))
+            assert math.isclose(row[name], want, abs_tol=1e-9)
+        assert k < 12 or math.isclose(row["sin_12_1"], out[k - 12]["sin_12_1"])
+    for bad in ({1: 1}, {12: 0}, {12: 7}):
+        with pytest.raises(ValueError):
+            harmonic_features("MS", bad)
+
+
+def test_a_label_rule_of_ones_own(panel):
+    df = panel({"a": [1, 2, 3, 4], "b": [1, None, None, 4]})
+    out = prepare(df, "MS", 0, 0, classify=lambda adi, cv2: F.when(adi > 1.5, "Lumpy").otherwise("Smooth"))
+    assert {r.unique_id: r.classification for r in out.collect()} == {"a": "Smooth", "b": "Lumpy"}
+
+
+def test_cleaning_is_counted_while_it_is_written(spark, sf):
+    from demandpanel.operators.prepare import CleaningObservation
+
+    raw = panels.part_returns_nullable(spark, sf).persist()
+    report = CleaningObservation()
+    prepare(raw, "MS", 3, 8, report=report).write.format("noop").mode("overwrite").save()
+    filled = fill_calendar(raw, "MS")
+    want = clean.cleaning_report(filled, clean.clean_series(filled, 3, 8)).first().asDict()
+    assert report.frame(spark).first().asDict() == want and want["series_dropped"] > 0
+    assert not any(x in plan(report.frame(spark)) for x in ("FileScan", "InMemory", "Exchange"))
+    raw.unpersist()
+
+
 def test_keys_are_merged_before_the_shuffle(spark, sf):
     """Raw rows are grouped by the whole key with partial sums, whatever one series holds."""
     out = tables.read_series(

@@ -49,8 +49,23 @@ def test_argument_checks(spark, panel):
         tables.write_training(df, "t", None)
     with pytest.raises(ValueError):
         tables.write_training(df, "t", ["trend"])
-    with pytest.raises(ValueError):
-        tables.split_at(df, "2030-01-01", check=True)
+
+
+def test_a_side_without_rows_raises_when_it_is_read(spark, panel, tmp_path):
+    df = panel({"a": [1, 2, 3]})
+    df.write.parquet(str(tmp_path / "p"))
+    for frame in (df, spark.read.parquet(str(tmp_path / "p"))):
+        train, test = tables.split_at(frame, "2024-02-01")
+        assert (train.count(), test.count()) == (2, 1) and train.columns == frame.columns
+        train, test = tables.split_at(frame, "2030-01-01")
+        assert train.count() == 3
+        with pytest.raises(PySparkException, match="No rows in: test"):
+            test.count()
+        with pytest.raises(PySparkException, match="No rows in: test"):
+            tables.unique_keys(test, "sum").collect()
+        with pytest.raises(PySparkException, match="No rows in: train"):
+            tables.split_at(frame, "2000-01-01")[0].collect()
+        assert tables.split_at(frame, "2030-01-01", check=False)[1].isEmpty()
 
 
 def test_date_limits_reach_the_scan(spark, sf):
@@ -91,6 +106,28 @@ def test_forecast_table_appends_and_stamps(spark, panel):
     assert out.groupBy("version").count().count() == 2 and out.count() == 4
 
 
+def test_a_version_is_replaced_and_others_stay(spark, panel):
+    df = panel({"a": [1, 2], "b": [3, 4]}).withColumnRenamed("y", "y_pred")
+
+    def stored():
+        rows = spark.table("fc_replaced").collect()
+        return sorted((r.version, r.unique_id, str(r.ds), r.y_pred) for r in rows)
+
+    tables.replace_forecasts(df, "v1", "fc_replaced")
+    first = stored()
+    tables.replace_forecasts(df.where("unique_id = 'a'"), "it's 2", "fc_replaced")
+    tables.replace_forecasts(df, "v1", "fc_replaced")
+    assert len(first) == 4 and [r for r in stored() if r[0] == "v1"] == first
+    assert [r[1] for r in stored() if r[0] == "it's 2"] == ["a", "a"]
+    tables.append_forecasts(df, "v1", "fc_replaced")
+    assert len(stored()) == 10
+    tables.replace_forecasts(df.limit(0), "v1", "fc_replaced")
+    assert {r[0] for r in stored()} == {"it's 2"}
+    df.withColumn("version", F.lit("x")).write.saveAsTable("fc_plain")
+    with pytest.raises(ValueError, match="not partitioned by version"):
+        tables.replace_forecasts(df, "x", "fc_plain")
+
+
 def test_layout_sorts_inside_ranges(spark, sf):
     from registry import panels
 
