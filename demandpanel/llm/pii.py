@@ -23,11 +23,11 @@ SAMPLE_TEXTS = 500
 #: Characters of a training example, of a window that is read, and what neighbours share of it.
 WIDTH, WINDOW, SHARED = 64, 1024, 64
 #: Windows are padded to a multiple of this, so that many of one length are read side by side.
-PADDED = 128
+PADDED = 256
 #: Windows that are read at once, and characters of texts (at least one text) held at once.
-LANES, HELD = 512, 1 << 20
-HIDDEN, EMBED = 16, 8
-EPOCHS, BATCH, RATE = 6, 24, 0.03
+LANES, HELD = 512, 1 << 21
+HIDDEN, EMBED = 12, 8
+EPOCHS, BATCH, RATE = 8, 24, 0.03
 #: Characters around a drawn place of a sampled text that its training examples are cut from.
 STRETCH = 4000
 #: Mean margin over "no data" (log odds a character) that a span of the network needs. Most
@@ -498,7 +498,7 @@ def examples(texts: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         for begin, _, _ in spans[:2]:
             add(text, spans, begin)
         at = text.find(" ", pick.randrange(len(text))) + 1
-        for which in (None, None, 0):  # addresses have the most spellings
+        for which in (None, None, 0, 3):  # addresses and numbers to call have the most spellings
             value, kind = _made_up(pick, which)
             changed = f"{text[:at]}{value} {text[at:]}"
             own = [s for s in spans if s[2] <= at]
