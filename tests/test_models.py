@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from demandpanel.functions.columns import by_series
 from demandpanel.functions.spec import LinearModel, ModelSpec, RollingMean, TreeModel
 from demandpanel.operators import features, forecast
 from demandpanel.operators.decompose import FEATURES
@@ -255,7 +256,7 @@ def test_per_fold_features_do_not_see_the_future(spark, training):
 
     rows = label_rows(training, "Erratic")
     columns = ["ds", "y", *FEATURES]
-    last = F.max("ds").over(features.by_series())
+    last = F.max("ds").over(by_series())
     changed = rows.withColumn("y", F.when(F.col("ds") == last, F.col("y") + 1e6).otherwise(F.col("y")))
 
     def refitted(panel):
