@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from demandpanel.llm.graph import components
 from demandpanel.llm.textio import Chunk, chunks, mix, windows, words
-from demandpanel.sources.checkpoints import ensure_checkpoint_dir
+from demandpanel.sources.checkpoints import ensure_checkpoint_dir, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -260,12 +260,17 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each class: that of the least id; repeated rows of it go.
+    """``docs`` with one row of each class of near-duplicates: that of the least id, null last.
 
-    Rows without an id stay.
+    Rows are told apart by a number of their own, not by their ids: repeated rows are copies of
+    which one stays, different texts under one id both stay, and rows without an id are compared
+    like others. Null, empty and wordless texts are near none and all stay. ``docs`` is written once, so
+    that the numbers hold whatever is computed again.
     """
-    classes = near_duplicates(docs, doc_id, text, **how)
-    gone = classes.where("class_id <> doc_id").select(F.col("doc_id").alias("__near_gone"))
-    kept = docs.join(gone.distinct(), docs[doc_id] == F.col("__near_gone"), "left_anti")
-    once = kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-    return once.unionByName(kept.where(F.col(doc_id).isNull()))
+    row = "__near_row"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    classes = near_duplicates(rows, row, text, **how).select(F.col("doc_id").alias(row), "class_id")
+    named = classes.join(rows.select(row, F.col(doc_id).alias("__near_id")), row)
+    order = F.struct(F.col("__near_id").isNull().alias("lost"), "__near_id", row)
+    first = named.groupBy("class_id").agg(F.min(order)[row].alias(row))
+    return rows.join(first.select(row), row, "left_semi").select(*docs.columns)

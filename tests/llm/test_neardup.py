@@ -93,3 +93,19 @@ def test_components_of_a_path_and_a_star(spark):
     got = components(spark.createDataFrame(path + star, "a long, b long")).collect()
     want = {i: 0 for i in range(71)} | {i: 1000 for i in range(1000, 1400)}
     assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
+
+
+def test_one_of_each_loses_nothing_by_its_id(spark):
+    long = "one two three four five six seven eight nine ten " * 4
+    rows = [
+        (5, long, "a"), (3, long + "more", "b"), (None, long, "c"),  # a class; the least id stays
+        (7, "some other text of many words here", "d"), (7, "and a third one under the same id", "e"),
+        (None, "copies without any id are copies too", "f"), (None, "copies without any id are copies too", "f"),
+        (8, "repeated rows are copies as well, too", "g"), (8, "repeated rows are copies as well, too", "g"),
+        (9, None, "h"), (9, None, "h"), (None, "", "i"), (10, "...", "j"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, class_id string").selectExpr("*", "1 AS node", "2 AS key")
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["class_id"] for r in kept.collect()) == list("bdefghhij")
+    assert neardup.one_of_each(docs.limit(0)).count() == 0

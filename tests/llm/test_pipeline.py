@@ -48,3 +48,33 @@ def test_stages_against_brute_force(spark, sf, tmp_path):
         assert r["text"] == private[i]["text"]
         assert r["ids"] == peer.encode_ordinary(r["text"]) and r["n_tokens"] == len(r["ids"])
     assert len(start) > len(good) > len(single) > len(clean) > 100
+
+
+def test_stages_on_rows_of_all_kinds(spark, sf, tmp_path):
+    """Null, empty, repeated and very long texts, null and repeated ids, clashing names, no rows."""
+    words = "the quick brown fox jumps over the lazy dog near the old river bank today "
+    texts = [None, "", "...", words, words, "call +49 (843) 555-7672 now", words * 900, "x" * 70_000]
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
+    rows += [rows[5], (None, words + "again", "en", "s", 1), (None, None, None, None, None), (3, "another text", "en", "s", 12)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema)
+    extra = ["ids", "n_tokens", "spans", "key", "block", "class_id", "accepted", "contamination", "node"]
+    docs = docs.selectExpr("*", *[f"'{c}' AS {c}" for c in extra])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        names = [c for c in docs.columns if c not in ("ids", "n_tokens")] + ["n_tokens", "ids"]
+        assert out.columns == (names if name == "tokens" else docs.columns), name
+        out.write.parquet(str(tmp_path / name))
+        got = spark.read.parquet(str(tmp_path / name)).collect()
+        assert all(r[c] == c for r in got for c in extra[2:]), name
+        nulls = sum(r["text"] is None for r in got)
+        if name == "near_duplicates":
+            kept = sorted(str(r["text"])[:20] for r in got)
+            assert nulls == 2 and len(got) == 9 and "another text" in kept
+        elif name != "quality":
+            assert len(got) == len(rows) and nulls == 2, name
+        if name == "personal_data":
+            assert [r["text"] for r in got if r["doc_id"] == 5] == ["call [PHONE] now"] * 2
+        if name == "tokens":
+            assert all(r["ids"] == [] and r["n_tokens"] == 0 for r in got if not r["text"])
+        assert stage(spark, docs.limit(0), sf).count() == 0
