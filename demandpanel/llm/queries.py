@@ -238,3 +238,27 @@ SELECT conv_id, count(*) AS n_turns,
             AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+# CRC-32 byte by byte, with its table made from the polynomial.
+ORACLE["op7_sharding"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(8), lambda k: CAST(k AS UBIGINT))),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS UBIGINT)) ELSE c // 2 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+sized AS (
+  SELECT doc_id, coalesce(text, '') AS s, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size FROM documents),
+bytes AS (
+  SELECT doc_id, s, size, list_transform(regexp_extract_all(hex(encode(s)), '..'),
+    lambda h: CAST('0x' || h AS UBIGINT)) AS b FROM sized),
+summed AS (
+  SELECT doc_id, size, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), b),
+    lambda c, x: xor(c // 256, t[CAST(xor(c % 256, x) AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) AS BIGINT) AS text_crc32
+  FROM bytes CROSS JOIN crc_table),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS start,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) AS line, sum(size) OVER () AS total FROM summed),
+cut AS (SELECT *, CAST(least((2 * start + size) * 24 // (2 * total), 23) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY line) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM cut
+"""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import pytest
+from compare import connect, spark_rows, sql_rows
 from llm.corpus import by_id, documents, table
 from pyspark.sql import functions as F
 
@@ -57,3 +58,10 @@ def test_empty_table_and_wrong_count(spark):
     assert sharding.balanced_shards(rows, 3, "size", ["doc_id"]).count() == 0
     with pytest.raises(ValueError):
         sharding.balanced_shards(rows, 0, "size", ["doc_id"])
+
+
+def test_query_matches_sql(spark, sf):
+    columns, rows = spark_rows(queries.op7_sharding(spark, sf))
+    expected_columns, expected = sql_rows(connect(sf), queries.ORACLE["op7_sharding"])
+    assert columns == expected_columns
+    assert rows == expected and len(rows) == 1000
