@@ -7,7 +7,6 @@ vectorised window hashes. A hash that hits is verified on the words themselves.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,39 +18,64 @@ from demandpanel.llm.textio import chunks, windows, words
 from demandpanel.sources.checkpoints import ensure_checkpoint_dir
 
 WIDTH = 13
-#: Benchmark text in one broadcast; a larger benchmark is scanned for in several blocks.
-BROADCAST_BYTES = 32 << 20
+#: Benchmark text in one broadcast, which is about four times its size; a larger benchmark is scanned for in
+#: several blocks.
+BROADCAST_BYTES = 8 << 20
 FILTER_BITS = 20
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 STATE = "__decon_items array<string>, __decon_runs array<struct<lo:int,hi:int>>"
 
 
 class Windows:
-    """Windows of benchmark items by length: hashes to scan for and words to verify."""
+    """Windows of benchmark items by length: sorted hashes to scan for, and where each stands in the
+    items' words, which are kept once, a space after each, to verify hits on.
+
+    Some 30 bytes a word, and ``2 ** FILTER_BITS`` for each length of window.
+    """
 
     def __init__(self, items: list[tuple[str | None, str | None]], width: int = WIDTH):
-        self.exact: dict[bytes, set[str]] = {}
-        lengths: dict[int, list[bytes]] = {}
-        for item_id, text in items:
-            parts = _WORD.findall((text or "").encode().lower())
-            n = min(width, len(parts))
-            for i in range(len(parts) - n + 1 if n else 0):
-                key = b" ".join(parts[i : i + n])
-                if key not in self.exact:
-                    self.exact[key] = set()
-                    lengths.setdefault(n, []).append(key)
-                if item_id is not None:
-                    self.exact[key].add(item_id)
-        self.sets = {n: self._hashed(n, keys) for n, keys in sorted(lengths.items())}
-
-    @staticmethod
-    def _hashed(n: int, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        (chunk,) = chunks(pa.array([b" ".join(keys)], pa.large_binary()), 1 << 62)
-        found = np.unique(windows(words(chunk).hash, n)[::n])
-        quick = np.zeros(1 << FILTER_BITS, bool)
-        quick[found >> np.uint64(64 - FILTER_BITS)] = True
-        return found, quick
+        self.ids = [item_id for item_id, _ in items]
+        held, sizes, owners, found = [], [], [], {}
+        n_words = 0
+        for chunk in chunks(pa.array([(t or "").encode() for _, t in items], pa.large_binary())):
+            w = words(chunk)
+            size = w.end - w.start
+            owner = np.repeat(np.arange(len(size)), size)  # the word of each of their bytes
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            spaced = np.full(len(owner) + len(size), 32, np.uint8)
+            spaced[np.arange(len(owner)) + owner] = w.lowered[w.start[owner] + within]
+            held.append(spaced)
+            sizes.append(size + 1)
+            owners.append((w.doc + chunk.lo).astype(np.int32))
+            first = np.searchsorted(w.doc, np.arange(chunk.hi - chunk.lo + 1))
+            count = np.diff(first)
+            for n in np.unique(np.minimum(count[count > 0], width)).tolist():
+                h = windows(w.hash, n)
+                at = np.flatnonzero(w.doc[: len(h)] == w.doc[n - 1 :][: len(h)])
+                if n < width:  # items of just so many words
+                    at = at[count[w.doc[at]] == n]
+                found.setdefault(n, []).append((h[at], at + n_words))
+            n_words += len(size)
+        self.text = np.concatenate([*held, np.zeros(0, np.uint8)]).tobytes()
+        self.start = np.cumsum(np.r_[0, *sizes]).astype(np.int64)
+        self.owner = np.concatenate([*owners, np.zeros(0, np.int32)])
+        self.sets = {}
+        for n, parts in sorted(found.items()):
+            h, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h, kind="stable")
+            quick = np.zeros(1 << FILTER_BITS, bool)
+            quick[h >> np.uint64(64 - FILTER_BITS)] = True
+            self.sets[n] = (h[order], at[order].astype(np.int32 if n_words < 1 << 31 else np.int64), quick)
+
+    def met(self, n: int, h: np.uint64, key: bytes) -> set[str | None] | None:
+        """Items with a window of these ``n`` words, which hash to ``h``; None where there are none."""
+        known, at, _ = self.sets[n]
+        lo, hi = np.searchsorted(known, h), np.searchsorted(known, h, "right")
+        out = set()
+        for place in at[lo:hi].tolist():
+            if self.text[self.start[place] : self.start[place + n] - 1] == key:
+                out.add(self.ids[self.owner[place]])
+        return out or None
 
     def scan(self, texts: pa.Array) -> Iterator[tuple[int, list, list, list[str]]]:
         """For each text: number of words, hit runs of words, of bytes, and items met."""
@@ -60,7 +84,7 @@ class Windows:
             first = np.searchsorted(w.doc, np.arange(chunk.hi - chunk.lo + 1))
             hits: dict[int, list[tuple[int, int]]] = {}
             items: dict[int, set[str]] = {}
-            for n, (known, quick) in self.sets.items():
+            for n, (known, _, quick) in self.sets.items():
                 h = windows(w.hash, n)
                 at = np.flatnonzero(quick[h >> np.uint64(64 - FILTER_BITS)])
                 at = at[w.doc[at] == w.doc[at + n - 1]]
@@ -70,10 +94,10 @@ class Windows:
                         w.lowered[a:b].tobytes()
                         for a, b in zip(w.start[i : i + n], w.end[i : i + n], strict=True)
                     )
-                    if key in self.exact:
+                    if (found := self.met(n, h[i], key)) is not None:
                         doc = int(w.doc[i])
                         hits.setdefault(doc, []).append((i, i + n))
-                        items.setdefault(doc, set()).update(self.exact[key])
+                        items.setdefault(doc, set()).update(found - {None})
             for doc in range(chunk.hi - chunk.lo):
                 runs = merged(hits.get(doc, []))
                 spans = [
