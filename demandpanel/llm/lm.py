@@ -5,8 +5,8 @@ training texts give the vocabulary, its classes and the shares of rare words in
 they go back to the blocks by a shuffle join, so no task holds the vocabulary. A GRU predicts the
 class of the next word and, for frequent words, the word in its class. It is trained in numpy by
 truncated backpropagation where the data lie: in every round each task starts from the same parameters and
-goes over its part of the sample, and their results are averaged. The sample is a share of the
-training texts, so what the network reads grows with the corpus, and its head with the
+goes over its part of the training texts, and their results are averaged. Every training text is read
+to its end, so what the network reads grows with the corpus, and its head with the
 vocabulary. Texts are scored in windows with the state carried from one to the next, from end to end.
 """
 
@@ -32,14 +32,17 @@ END = b""
 #: a fourth root of the vocabulary's size, at least PER.
 PER, TAIL = 16, 48
 HIDDEN = 24
-#: One training text in SHARE teaches the network, more where that is below LEAST tokens; these are
-#: gone over until VISITS tokens have been read, PASSES times at most.
-SHARE, LEAST, VISITS, PASSES = 8, 1 << 19, 1 << 20, 6
+#: All training texts teach the network; they are gone over until VISITS tokens have been read, once at
+#: least and PASSES times at most.
+VISITS, PASSES = 1 << 20, 6
 #: Rounds of training, after each of which the parameters are averaged, tokens of a task, and groups
 #: that results are merged in, at least.
-ROUNDS, TASK_TOKENS, GROUPS = 6, 1 << 18, 16
-STREAMS, STEPS, RATE = 64, 24, 0.03
+ROUNDS, TASK_TOKENS, GROUPS = 6, 1 << 21, 16
+#: A task reads so many parts of its stream side by side, at least and at most: as many as leave it UPDATES steps.
+STREAMS, UPDATES, STEPS, RATE = (64, 512), 96, 24, 0.03
 WINDOW, TOGETHER = 32, 512
+#: Rows whose classes are scored at once.
+AT_ONCE = 1 << 11
 #: Tokens that close a block, bytes of text that are cut into words at once, words of a row.
 BLOCK_TOKENS, SLICE, WORDS = 1 << 21, 1 << 20, 1 << 14
 _DRAWS = 1 << 30
@@ -142,33 +145,46 @@ class Network:
         n = _squash(a[:, 2 * HIDDEN :] + (r * h) @ u[:, 2 * HIDDEN :])
         return h + z * (n - h), (h, zr, n)
 
-    def log_prob(self, h: np.ndarray, code: np.ndarray, shares: bool = True):
-        """Natural log-probability of each class and frequent word, with the softmaxes (``shares``): of the
-        classes, and of the words by class with the rows they belong to."""
-        s = h @ self.p["c"] + self.p["cb"]
-        s -= s.max(1, keepdims=True)
-        of = self.class_of(code)
-        rows = np.arange(len(code))
-        out = s[rows, of].astype(np.float64)
-        np.exp(s, out=s)
-        sums = s.sum(1)
-        out -= np.log(sums)
-        if shares:
-            s /= sums[:, None]
-        some = np.flatnonzero(code < self.head)
-        inside = []
-        for k, at in _by_group(of[some]):
-            at = some[at]
-            v = h[at] @ self.p["w"][k].T + self.p["wb"][k]
-            v -= v.max(1, keepdims=True)
-            place = code[at] % self.per
-            out[at] += v[np.arange(len(at)), place]
-            np.exp(v, out=v)
-            total = v.sum(1)
+    def log_prob(self, h: np.ndarray, code: np.ndarray, grad: dict[str, np.ndarray] | None = None):
+        """Natural log-probability of each class and frequent word. Given a ``grad`` of zeros, the mean
+        loss's gradient is put there, and that of ``h`` is returned as well.
+
+        Scores stand a column a row of ``h``, as sums over columns are slow; ``AT_ONCE`` of them stay in the cache.
+        """
+        of, n = self.class_of(code), max(len(code), 1)
+        out, back = np.zeros(len(code)), None if grad is None else np.zeros_like(h)
+
+        def add(at, place: np.ndarray, weights: np.ndarray, bias: np.ndarray):
+            x = h[at]
+            s = weights @ x.T
+            s += bias[:, None]
+            s -= s.max(0)
+            own = np.arange(len(place))
+            out[at] += s[place, own]
+            np.exp(s, out=s)
+            total = s.sum(0)
             out[at] -= np.log(total)
-            if shares:
-                inside.append((k, at, place, v / total[:, None]))
-        return out, (s, of, inside)
+            if grad is None:
+                return None
+            s /= total * n
+            s[place, own] -= 1 / n
+            back[at] += s.T @ weights
+            return s @ x, s.sum(1)
+
+        weights = np.ascontiguousarray(self.p["c"].T)
+        for lo in range(0, len(code), AT_ONCE):
+            some = slice(lo, lo + AT_ONCE)
+            found = add(some, of[some], weights, self.p["cb"])
+            if found:
+                grad["c"] += found[0].T
+                grad["cb"] += found[1]
+        words = np.flatnonzero(code < self.head)
+        for k, at in _by_group(of[words].astype(np.int32)):
+            at = words[at]
+            found = add(at, code[at] % self.per, self.p["w"][k], self.p["wb"][k])
+            if found:
+                grad["w"][k], grad["wb"][k] = found
+        return out, back
 
     def loss(self, code: np.ndarray, goal: np.ndarray, h: np.ndarray):
         """Mean loss over a window (streams by steps), its gradient, and the state after it.
@@ -184,18 +200,9 @@ class Network:
         flat, target = np.concatenate(states), goal.T.ravel()
         real = np.flatnonzero(target >= 0)
         n = max(len(real), 1)
-        logs, (q, of, inside) = self.log_prob(flat[real], target[real])
-        q[np.arange(len(real)), of] -= 1
-        q /= n
-        grad = {k: np.zeros_like(p[k]) for k in ("w", "wb")}
-        grad["c"], grad["cb"] = flat[real].T @ q, q.sum(0)
+        grad = {k: np.zeros_like(p[k]) for k in ("c", "cb", "w", "wb")}
+        logs, back = self.log_prob(flat[real], target[real], grad)
         dh = np.zeros_like(flat)
-        back = q @ p["c"].T
-        for k, at, place, e in inside:
-            e[np.arange(len(at)), place] -= 1
-            e /= n
-            grad["w"][k], grad["wb"][k] = e.T @ flat[real[at]], e.sum(0)
-            back[at] += e @ p["w"][k]
         dh[real] = back
         dh = dh.reshape(code.shape[1], code.shape[0], HIDDEN)
         grad["u"] = np.zeros_like(u)
@@ -223,7 +230,7 @@ class Network:
     def train(self, stream: np.ndarray, first: int, rate: tuple[float, float] = (RATE, RATE / 10)) -> Network:
         """Adam over parallel parts of a stream of ids, windows of ``STEPS``, the rate falling from one to the
         other; the state is carried on, gradients are cut at the window's beginning."""
-        lanes = min(STREAMS, max(1, len(stream) // (2 * STEPS)))
+        lanes = min(max(STREAMS[0], len(stream) // (UPDATES * STEPS)), STREAMS[1], max(1, len(stream) // (2 * STEPS)))
         length = -(-len(stream) // lanes)
         goal = np.full(lanes * length, -1)
         goal[: len(stream)] = stream
@@ -270,7 +277,7 @@ class Network:
                     states[t] = h
                     last = np.maximum(goal[:, t], 0)
                 there = goal.T >= 0
-                logs, _ = self.log_prob(states[there], goal.T[there], shares=False)
+                logs, _ = self.log_prob(states[there], goal.T[there])
                 whose = np.broadcast_to(np.arange(active), (WINDOW, active))[there]
                 out[some] += np.bincount(whose, logs, active)
         return out
@@ -472,34 +479,19 @@ def untrained(words: Vocabulary) -> Network:
     return Network(words.per, np.log(mass / mass.sum()), np.log(n / n.sum(1, keepdims=True)))
 
 
-def _sample(texts: DataFrame, total: int) -> tuple[DataFrame, int]:
-    """Training texts to learn from, with a ``turn`` from 0 to 1, and their tokens.
-
-    Texts are drawn by a hash. Where few are drawn (a small corpus, few very long texts) more are, up to all.
-    """
-    share = min(1.0, max(1 / SHARE, LEAST / max(total, 1)))
-    while True:
-        drawn = texts.where(F.col("teaches") & (F.col("draw") < int(share * _DRAWS)))
-        size = drawn.agg(F.sum("n_tokens")).first()[0] or 0
-        if share == 1 or 2 * size >= min(total * share, LEAST):
-            return drawn.withColumn("turn", F.col("draw") / (share * _DRAWS)), size
-        share = min(1.0, 2 * share)
-
-
 def train(texts: DataFrame, words: Vocabulary) -> Network:
-    """A network trained on a share of the ``coded`` training texts.
+    """A network trained on all the ``coded`` training texts.
 
-    Each round goes over one part of the sample: a task reads its texts as one stream from
-    the common parameters, and the results are averaged by tokens read. Partial
+    Each round goes over one part of them, drawn by a hash: a task reads its texts as one stream from
+    the common parameters, and the results are averaged by tokens read. The texts are not shuffled. Partial
     sums of parameters are merged in groups, so the driver gets a root of the number of tasks.
     """
     network = untrained(words)
     if not words.total:
         return network  # nothing to learn from: the classes are all that is known
-    drawn, size = _sample(texts, words.total)
-    passes = min(PASSES, math.ceil(VISITS / size))
+    passes = min(PASSES, math.ceil(VISITS / words.total))
     parts = -(-ROUNDS // passes)
-    tasks = max(1, size // (parts * TASK_TOKENS))
+    tasks = max(1, words.total // (parts * TASK_TOKENS))
     groups = max(GROUPS, math.isqrt(tasks))
     first = words.head.get(END, words.size + words.tail)
     shared = texts.sparkSession.sparkContext
@@ -529,8 +521,8 @@ def train(texts: DataFrame, words: Vocabulary) -> Network:
             total, mean = _averaged(zip(rows.column("n"), rows.column("mean")))
             return pa.table({"n": [total], "mean": pa.array([mean.tobytes()], pa.binary())})
 
-        turn = drawn.where(F.floor(F.col("turn") * parts) == k % parts)
-        dealt = turn.select("codes", "draw").repartition(tasks).sortWithinPartitions("draw", F.size("codes"))
+        turn = texts.where(F.col("teaches") & (F.floor(F.col("draw") / _DRAWS * parts) == k % parts))
+        dealt = turn.select("codes", "draw").coalesce(tasks).sortWithinPartitions("draw", F.size("codes"))
         learned = dealt.select("codes").mapInArrow(learn, "part long, n long, mean binary")
         found = learned.groupBy("part").applyInArrow(merged, "n long, mean binary").toArrow()
         if found.num_rows:

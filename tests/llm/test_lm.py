@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm.corpus import by_id, documents, table
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from demandpanel.llm import lm, queries
@@ -189,3 +190,29 @@ def test_more_text_teaches_more(spark, sf):
         net = scores.where(held).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
         found.append((model.vocabulary.size, (net[0] - net[1]) / net[2]))
     assert found[1][0] > found[0][0] and found[1][1] > found[0][1] > 0
+
+
+def test_every_training_text_teaches_the_network(spark, monkeypatch):
+    """A corpus of many parts is read whole, each training text in one round, and no other text."""
+    monkeypatch.setattr(lm, "VISITS", 1)
+    texts = {i: " ".join(f"w{i % 50} v{j % 7}" for j in range(200)) for i in range(1600)}
+    docs, teaches = documents(spark, texts), F.col("doc_id") % 7 != 2
+    parts = lm.split(docs, teaches)
+    counts = lm.count_words(parts)
+    words = lm.vocabulary(counts)
+    coded = lm.coded(parts, counts, words)
+    read = spark.sparkContext.accumulator(0)
+    train = lm.Network.train
+
+    def counting(self, stream, first, *rest):
+        read.add(len(stream))
+        return train(self, stream, first, *rest)
+
+    monkeypatch.setattr(lm.Network, "train", counting)
+    cloudpickle.register_pickle_by_value(lm)
+    try:
+        lm.train(coded, words)
+    finally:
+        cloudpickle.unregister_pickle_by_value(lm)
+    want = sum(401 for i in texts if i % 7 != 2)
+    assert want > 1 << 19 and read.value == want == words.total
