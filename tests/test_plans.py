@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandpanel.functions.spec import ExponentialMean, ModelSpec, TreeModel
-from demandpanel.operators import classify, clean, decompose, features, forecast
+from demandpanel.operators import calendar, classify, clean, decompose, features, forecast
 from demandpanel.operators.calendar import fill_calendar
 from demandpanel.operators.impute import impute_by_class
 from demandpanel.operators.prepare import prepare
@@ -227,3 +227,28 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     ensure_checkpoint_dir(spark)
     named = spark.conf.get("spark.checkpoint.dir")
     assert named in spark.sparkContext.getCheckpointDir()
+
+
+def test_partitions_follow_the_size_of_the_filled_panel(spark, sf, monkeypatch):
+    """No task holds more of a panel as it grows, whatever the session shuffles to."""
+    small = queries.prepared(spark, sf, panels.part_month)
+    monkeypatch.setattr(calendar, "TASK_ROWS", 8_000)
+    size, bounds = calendar.panel_size(panels.part_month(spark, sf), "MS")
+    assert 15 <= size <= 27  # 2,000 series of 83 months
+    large = queries.prepared(spark, sf, panels.part_month)
+    held = large.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held < 2 * 8_000
+    assert large.exceptAll(small).isEmpty() and small.exceptAll(large).isEmpty()
+    source = queries._store_prepared(spark, sf, panels.part_month)
+    stored = spark.table(source)
+    buckets = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {source}").collect()}
+    assert int(buckets["Num Buckets"]) == size and stored.count() == small.count()
+    for name in ("trim_leading_nulls", "clean_steps"):
+        assert "REPARTITION_BY_NUM" in plan(queries.QUERIES[name](spark, sf))
+    assert calendar.panel_size(panels.part_month(spark, sf).where("false"), "MS") == (1, None)
+
+
+def test_the_writer_keeps_the_layout_of_a_prepared_panel(spark, sf):
+    rows = panels.part_month(spark, sf)
+    prepared = prepare(rows, "MS", 3, 8, partitions=9).repartition(9, "unique_id")
+    assert plan(prepared).count(", 9), REPARTITION_BY_NUM") == 1
