@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,3 +254,22 @@ def test_the_writer_keeps_the_layout_of_a_prepared_panel(spark, sf):
     rows = panels.part_month(spark, sf)
     prepared = prepare(rows, "MS", 3, 8, partitions=9).repartition(9, "unique_id")
     assert plan(prepared).count(", 9), REPARTITION_BY_NUM") == 1
+
+
+def test_decomposed_batches_are_bounded(spark, monkeypatch):
+    series = [np.zeros(n) for n in (3, 4, 50, 1, 2, 9, 1)]
+    monkeypatch.setattr(decompose.smoothing, "PERIODS_AT_ONCE", 10)
+    parts = list(decompose.smoothing.in_parts(series))
+    assert [len(v) for part in parts for v in part] == [len(v) for v in series]
+    assert all(sum(map(len, part)) - max(map(len, part)) <= 10 for part in parts)
+    assert len(parts) > 3 and [len(p) for p in decompose.smoothing.in_parts([np.zeros(0)])] == [1]
+    # What is handed back is cut too, so no more of a batch is held than a part and what is made of it.
+    run = decompose._components_udf(2, 3).func
+    batch = pd.Series([np.arange(6.0) + k for k in range(8)])
+    out = list(run(iter([batch])))
+    assert max(len(o) for o in out) <= 2
+    monkeypatch.setattr(decompose.smoothing, "PERIODS_AT_ONCE", 1 << 19)
+    whole = pd.concat(run(iter([batch])))
+    for name in ("trend", "seasonal"):
+        got = np.stack([v for o in out for v in o[name]])
+        np.testing.assert_allclose(got, np.stack(list(whole[name])), atol=1e-9)
