@@ -7,6 +7,7 @@ from dataclasses import replace
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from demandpanel.functions.spec import ExponentialMean, ModelSpec, TreeModel
@@ -273,3 +274,28 @@ def test_decomposed_batches_are_bounded(spark, monkeypatch):
     for name in ("trend", "seasonal"):
         got = np.stack([v for o in out for v in o[name]])
         np.testing.assert_allclose(got, np.stack(list(whole[name])), atol=1e-9)
+
+
+def test_raw_rows_are_merged_in_partitions_by_the_size_of_the_panel(spark, sf, monkeypatch):
+    """The sums by series and date follow the panel's size too, not only what comes after them."""
+    small = queries.prepared(spark, sf, panels.part_month).collect()
+    monkeypatch.setattr(calendar, "TASK_ROWS", 8_000)
+    shown = plan(large := queries.prepared(spark, sf, panels.part_month))
+    session = spark.conf.get("spark.sql.shuffle.partitions")
+    assert f", {session}), ENSURE_REQUIREMENTS" not in shown and shown.count("REPARTITION_BY_NUM") == 2
+    assert sorted(large.collect()) == sorted(small)
+
+
+def test_merged_keys_do_not_depend_on_the_partitions(spark):
+    rows = [(f"s{i % 5}" if i % 11 else None, f"2024-01-0{1 + i % 3}", None if i % 4 == 0 else float(i)) for i in range(300)]
+    rows += [("one", "2024-01-01", 1.0)] * 500  # a key of most rows
+    df = spark.createDataFrame(rows, "unique_id string, ds string, y double").withColumn("ds", F.to_date("ds"))
+    df = df.withColumn("static", F.length("unique_id")).repartition(6)
+    for kind in ("sum", "first"):
+        few, many = (tables.unique_keys(df, kind, n) for n in (None, 40))
+        assert few.count() == many.count() == 19
+        assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+    with pytest.raises(PySparkException, match="Duplicate key"):
+        tables.unique_keys(df.where("unique_id = 'one'"), "error", 40).collect()
+    singles = df.dropDuplicates(["unique_id", "ds"])
+    assert tables.unique_keys(singles, "error", 40).count() == 19
