@@ -1,7 +1,7 @@
 """Whole texts as byte arrays, and vectorised hashes of the words in them.
 
-Texts reach Python in Arrow batches. The helpers here cut a batch into chunks of a few
-megabytes, so that the temporary arrays of a task stay small whatever the batch holds; only a
+Texts reach Python in Arrow batches. The helpers here cut a batch into chunks of a
+megabyte, so that the temporary arrays of a task stay small whatever the batch holds; only a
 text that is itself longer makes a longer chunk.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _RNG = np.random.default_rng(20240607)

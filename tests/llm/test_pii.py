@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -176,3 +177,18 @@ def test_cases(spark, network):
     assert cut[3]["text"] == "[EMAIL] and [IP]" and cut[3]["n_chars"] == 16
     assert cut[0]["text"] is None and cut[2]["text"] == "nothing" and cut[2]["spans"] == "x"
     assert pii.find(documents(spark, []), pii.fit(documents(spark, []))).count() == 0
+
+
+def test_memory_of_a_batch_does_not_grow_with_it(monkeypatch):
+    """Texts are read in parts: a worker's memory is that of half a million characters, and results do not depend on it."""
+    network = pii.Network(3)
+    network.p = {k: v.astype(np.float32) for k, v in network.p.items()}
+    network.p["ob"][0] = 50  # few places are in doubt
+    texts = [f"{i} call 555 {i} or mail a{i} at b dot de, " * 25 for i in range(2_000)]
+    tracemalloc.start()
+    found = network.spans(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130e6
+    monkeypatch.setattr(pii, "HELD", 1 << 21)
+    assert network.spans(texts) == found
