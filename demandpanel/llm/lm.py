@@ -41,8 +41,8 @@ ROUNDS, TASK_TOKENS, GROUPS = 6, 1 << 21, 16
 #: A task reads so many parts of its stream side by side, at least and at most: as many as leave it UPDATES steps.
 STREAMS, UPDATES, STEPS, RATE = (64, 512), 96, 24, 0.03
 WINDOW, TOGETHER = 32, 512
-#: Rows whose classes are scored at once.
-AT_ONCE = 1 << 11
+#: Rows whose classes are scored at once, and scores whose exponentials fit in single precision, also summed.
+AT_ONCE, STEEP = 1 << 11, 60.0
 #: Tokens that close a block, bytes of text that are cut into words at once, words of a row.
 BLOCK_TOKENS, SLICE, WORDS = 1 << 21, 1 << 20, 1 << 14
 _DRAWS = 1 << 30
@@ -107,17 +107,16 @@ class Vocabulary(NamedTuple):
 
 def _squash(x: np.ndarray) -> np.ndarray:
     """Between -1 and 1, with the slope ``(1 - |y|) ** 2`` at the value y."""
-    return x / (1 + np.abs(x))
+    y = np.abs(x)
+    y += 1
+    return np.divide(x, y, out=y)
 
 
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of each value of ``group``."""
-    if not len(group):
-        return
-    order = np.argsort(group, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])
-    for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
-        yield int(group[order[lo]]), order[lo:hi]
+def _runs(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of ``group``, and where each of its values begins among them."""
+    # Short integers are sorted by their digits.
+    order = np.argsort(group.astype(np.uint16) if group.size and group.max() < 1 << 16 else group, kind="stable")
+    return order, np.flatnonzero(np.diff(group[order], prepend=-1))
 
 
 class Network:
@@ -139,51 +138,73 @@ class Network:
 
     def step(self, code: np.ndarray, h: np.ndarray):
         """The next state, and what backpropagation needs."""
-        a, u = self.p["x"][code], self.p["u"]
-        zr = (1 + _squash(a[:, : 2 * HIDDEN] + h @ u[:, : 2 * HIDDEN])) / 2
+        a, u = self.p["x"].take(code, 0), self.p["u"]
+        zr = h @ u[:, : 2 * HIDDEN]
+        zr += a[:, : 2 * HIDDEN]
+        zr = _squash(zr)
+        zr += 1
+        zr *= 0.5
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = _squash(a[:, 2 * HIDDEN :] + (r * h) @ u[:, 2 * HIDDEN :])
-        return h + z * (n - h), (h, zr, n)
+        n = (r * h) @ u[:, 2 * HIDDEN :]
+        n += a[:, 2 * HIDDEN :]
+        n = _squash(n)
+        after = n - h
+        after *= z
+        after += h
+        return after, (h, zr, n)
 
     def log_prob(self, h: np.ndarray, code: np.ndarray, grad: dict[str, np.ndarray] | None = None):
         """Natural log-probability of each class and frequent word. Given a ``grad`` of zeros, the mean
         loss's gradient is put there, and that of ``h`` is returned as well.
 
         Scores stand a column a row of ``h``, as sums over columns are slow; ``AT_ONCE`` of them stay in the cache.
+        Biases are the weights of a further column of ones. The largest score is taken off only where one may be
+        so large that its exponential overflows.
         """
         of, n = self.class_of(code), max(len(code), 1)
         out, back = np.zeros(len(code)), None if grad is None else np.zeros_like(h)
-
-        def add(at, place: np.ndarray, weights: np.ndarray, bias: np.ndarray):
-            x = h[at]
+        one = np.ones((len(code), HIDDEN + 1), h.dtype)
+        one[:, :HIDDEN] = h
+        classes = np.concatenate([self.p["c"].T, self.p["cb"][:, None]], 1)
+        frequent = np.concatenate([self.p["w"], self.p["wb"][:, :, None]], 2)
+        largest = max(np.abs(x).sum(-1).max() for x in (classes, frequent))
+        steep = not largest * max(1.0, np.abs(h).max(initial=0)) < STEEP
+
+        def add(x: np.ndarray, place: np.ndarray, weights: np.ndarray):
             s = weights @ x.T
-            s += bias[:, None]
-            s -= s.max(0)
+            if steep:
+                s -= s.max(0)
             own = np.arange(len(place))
-            out[at] += s[place, own]
+            logs = s[place, own]
             np.exp(s, out=s)
-            total = s.sum(0)
-            out[at] -= np.log(total)
+            total = np.ones(len(weights), s.dtype) @ s
+            logs -= np.log(total)
             if grad is None:
-                return None
-            s /= total * n
+                return logs, None, None
+            s *= 1 / (total * n)
             s[place, own] -= 1 / n
-            back[at] += s.T @ weights
-            return s @ x, s.sum(1)
+            return logs, s.T @ weights[:, :HIDDEN], s @ x
 
-        weights = np.ascontiguousarray(self.p["c"].T)
         for lo in range(0, len(code), AT_ONCE):
             some = slice(lo, lo + AT_ONCE)
-            found = add(some, of[some], weights, self.p["cb"])
-            if found:
-                grad["c"] += found[0].T
-                grad["cb"] += found[1]
+            out[some], through, own = add(one[some], of[some], classes)
+            if grad is not None:
+                back[some] = through
+                grad["c"] += own[:, :HIDDEN].T
+                grad["cb"] += own[:, HIDDEN]
         words = np.flatnonzero(code < self.head)
-        for k, at in _by_group(of[words].astype(np.int32)):
-            at = words[at]
-            found = add(at, code[at] % self.per, self.p["w"][k], self.p["wb"][k])
-            if found:
-                grad["w"][k], grad["wb"][k] = found
+        order, cuts = _runs(of[words])
+        at = words[order]
+        x, place, logs, through = one[at], code[at] % self.per, np.zeros(len(at)), np.zeros((len(at), HIDDEN), h.dtype)
+        for lo, hi in zip(cuts, [*cuts[1:], len(at)]):
+            k, some = of[at[lo]], slice(lo, hi)
+            logs[some], found, own = add(x[some], place[some], frequent[k])
+            if grad is not None:
+                through[some] = found
+                grad["w"][k], grad["wb"][k] = own[:, :HIDDEN], own[:, HIDDEN]
+        out[at] += logs
+        if grad is not None:
+            back[at] += through
         return out, back
 
     def loss(self, code: np.ndarray, goal: np.ndarray, h: np.ndarray):
@@ -192,40 +213,49 @@ class Network:
         A goal of -1 is none.
         """
         p, u = self.p, self.p["u"]
-        kept, states = [], []
-        for t in range(code.shape[1]):
-            h, saved = self.step(code[:, t], h)
-            kept.append(saved)
-            states.append(h)
-        flat, target = np.concatenate(states), goal.T.ravel()
+        lanes, steps = code.shape
+        states = np.empty((steps + 1, lanes, HIDDEN), h.dtype)
+        zr, cand = np.empty((steps, lanes, 2 * HIDDEN), h.dtype), np.empty((steps, lanes, HIDDEN), h.dtype)
+        states[0] = h
+        for t in range(steps):
+            states[t + 1], (_, zr[t], cand[t]) = self.step(code[:, t], states[t])
+        flat, target = states[1:].reshape(-1, HIDDEN), goal.T.ravel()
         real = np.flatnonzero(target >= 0)
         n = max(len(real), 1)
         grad = {k: np.zeros_like(p[k]) for k in ("c", "cb", "w", "wb")}
         logs, back = self.log_prob(flat[real], target[real], grad)
         dh = np.zeros_like(flat)
         dh[real] = back
-        dh = dh.reshape(code.shape[1], code.shape[0], HIDDEN)
-        grad["u"] = np.zeros_like(u)
-        d, inputs = np.zeros_like(h), []
-        for t in range(code.shape[1] - 1, -1, -1):
-            before, zr, cand = kept[t]
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            d = d + dh[t]
-            dn = d * z * (1 - np.abs(cand)) ** 2
+        dh = dh.reshape(steps, lanes, HIDDEN)
+        d, inputs = np.zeros_like(h), np.empty((steps, lanes, 3 * HIDDEN), h.dtype)
+        for t in range(steps - 1, -1, -1):
+            before, z, r = states[t], zr[t, :, :HIDDEN], zr[t, :, HIDDEN:]
+            slope = 1 - np.abs(2 * zr[t] - 1)
+            slope *= slope
+            slope *= 0.5
+            d += dh[t]
+            dn = 1 - np.abs(cand[t])
+            dn *= dn
+            dn *= z
+            dn *= d
             through = dn @ u[:, 2 * HIDDEN :].T
-            dzr = np.concatenate([d * (cand - before), through * before], 1)
-            dzr *= (1 - np.abs(2 * zr - 1)) ** 2 / 2
-            inputs.append(np.concatenate([dzr, dn], 1))
-            grad["u"][:, : 2 * HIDDEN] += before.T @ dzr
-            grad["u"][:, 2 * HIDDEN :] += (r * before).T @ dn
-            d = d * (1 - z) + through * r + dzr @ u[:, : 2 * HIDDEN].T
+            dzr = slope
+            dzr[:, :HIDDEN] *= d * (cand[t] - before)
+            dzr[:, HIDDEN:] *= through * before
+            inputs[t, :, : 2 * HIDDEN], inputs[t, :, 2 * HIDDEN :] = dzr, dn
+            d *= 1 - z
+            through *= r
+            d += through
+            d += dzr @ u[:, : 2 * HIDDEN].T
+        before, dx = states[:-1].reshape(-1, HIDDEN), inputs.reshape(-1, 3 * HIDDEN)
+        reset = before * zr.reshape(-1, 2 * HIDDEN)[:, HIDDEN:]
+        grad["u"] = np.concatenate([before.T @ dx[:, : 2 * HIDDEN], reset.T @ dx[:, 2 * HIDDEN :]], 1)
         # Rows of one input are added up side by side.
-        own, dx = code.T[::-1].ravel(), np.concatenate(inputs)
-        order = np.argsort(own, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(own[order]) != 0])
+        own = code.T.ravel()
+        order, first = _runs(own)
         grad["x"] = np.zeros_like(p["x"])
         grad["x"][own[order[first]]] = np.add.reduceat(dx[order], first)
-        return -float(logs.sum()) / n, grad, h
+        return -float(logs.sum()) / n, grad, states[-1]
 
     def train(self, stream: np.ndarray, first: int, rate: tuple[float, float] = (RATE, RATE / 10)) -> Network:
         """Adam over parallel parts of a stream of ids, windows of ``STEPS``, the rate falling from one to the
@@ -262,24 +292,23 @@ class Network:
         order = np.argsort(-size, kind="stable")
         for lo in range(0, len(order), TOGETHER):
             some = order[lo : lo + TOGETHER]
+            flat = np.concatenate([texts[i] for i in some.tolist()])
+            start = np.cumsum(size[some]) - size[some]
             h = np.zeros((len(some), HIDDEN), np.float32)
             last = np.full(len(some), first)
             for at in range(0, int(size[some[0]]), WINDOW):
                 active = int((size[some] > at).sum())  # longest first
-                some, h, last = some[:active], h[:active], last[:active]
-                goal = np.full((active, WINDOW), -1)
-                for k, i in enumerate(some.tolist()):
-                    part = texts[i][at : at + WINDOW]
-                    goal[k, : len(part)] = part
-                states = np.zeros((WINDOW, active, HIDDEN), np.float32)
-                for t in range(min(WINDOW, int(size[some[0]]) - at)):
-                    h, _ = self.step(last, h)
-                    states[t] = h
-                    last = np.maximum(goal[:, t], 0)
-                there = goal.T >= 0
-                logs, _ = self.log_prob(states[there], goal.T[there])
-                whose = np.broadcast_to(np.arange(active), (WINDOW, active))[there]
-                out[some] += np.bincount(whose, logs, active)
+                some, start, h, last = some[:active], start[:active], h[:active], last[:active]
+                steps = np.arange(at, min(at + WINDOW, int(size[some[0]])))[:, None]
+                there = steps < size[some]
+                goal = flat[np.where(there, start + steps, 0)]
+                states = np.empty((len(steps), active, HIDDEN), np.float32)
+                for t in range(len(steps)):
+                    states[t] = h = self.step(last, h)[0]
+                    last = goal[t]
+                place = np.flatnonzero(there)
+                logs, _ = self.log_prob(states.reshape(-1, HIDDEN)[place], goal.ravel()[place])
+                out[some] += np.bincount(place % active, logs, active)
         return out
 
     def packed(self) -> bytes:

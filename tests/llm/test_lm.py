@@ -125,6 +125,24 @@ def test_probabilities_sum_to_one():
     assert (lm._without(ids[changed], words) == less[changed]).all()
 
 
+def test_the_largest_score_is_taken_off_only_where_it_must_be(monkeypatch):
+    net, r = network(3)
+    h, code = r.normal(0, 0.5, (400, lm.HIDDEN)), r.integers(0, INPUTS, 400)
+
+    def found():
+        grad = {k: np.zeros_like(net.p[k]) for k in ("c", "cb", "w", "wb")}
+        logs, back = net.log_prob(h, code, grad)
+        return [logs, back, *grad.values()]
+
+    want = found()
+    monkeypatch.setattr(lm, "STEEP", 0.0)  # always
+    for a, b in zip(found(), want, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-12)
+    monkeypatch.undo()
+    net.p["cb"][0] = 5000.0  # an exponential that overflows
+    assert all(np.isfinite(x).all() for x in found())
+
+
 def split_up(spark, texts, teaches="doc_id <= 4"):
     docs = documents(spark, texts).selectExpr("*", "1 AS block", "'x' AS score", "2 AS draw", "3 AS words")
     scores, model = lm.learn_and_score(docs, F.expr(teaches))
