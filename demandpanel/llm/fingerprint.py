@@ -5,16 +5,10 @@ from hashes of (term, k). With t = floor(ln w / r + b), the term bids ln c - r *
 and the lowest bid of a document gives its sample (term, t). Two documents draw the same
 sample with a probability equal to the generalised Jaccard similarity of their weights, the
 sum of minima over the sum of maxima.
-
-The exponential of a document's lowest bid is exponentially distributed with the sum of its weights
-W as rate. So a term bids only where it may be below SURE / W, which a bound without logarithms tells;
-that a whole document bids higher is as likely as that two words share a 64-bit hash.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +19,6 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SAMPLES = 64
 #: Samples drawn from one exploded row: small enough for the JVM to compile the loop body.
 AT_ONCE = 4
-#: Natural logarithm of 2 ** 64.
-SURE = 44.4
 #: A bid b is kept as floor((b + BID_OFFSET) * BID_SCALE) in the upper half of a long; bids
 #: lie between -90 and 4 for weights up to 10 ** 9.
 BID_OFFSET, BID_SCALE = 96.0, float(1 << 24)
@@ -36,9 +28,9 @@ BUCKET_ROWS, BOUNDS = 1500, 512
 _HALF = float(1 << 32)
 
 
-def _words(text: Column, tag: Callable[[Column], Column]) -> Column:
+def _words(text: Column) -> Column:
     found = F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN)
-    return F.transform(F.array_remove(found, ""), lambda word: tag(F.xxhash64(word)))
+    return F.transform(F.array_remove(found, ""), lambda word: F.xxhash64(word))
 
 
 def weighted(df: DataFrame, texts: list[Column], column: str = "terms") -> DataFrame:
@@ -53,10 +45,11 @@ def weighted(df: DataFrame, texts: list[Column], column: str = "terms") -> DataF
     # Each step is a column of its own, so that no expression is evaluated inside a lambda.
     for k, text in enumerate(texts):
         words = f"__cws_words{k}"
+        out = out.withColumn(words, _words(text))
+        own = F.array(F.xxhash64(F.coalesce(text, F.lit("")), F.lit(True)))
+        some = F.when(F.size(words) > 0, F.col(words)).otherwise(own)
         tag = (lambda h: h.bitwiseOR(F.lit(1))) if k else (lambda h: h.bitwiseAND(F.lit(~1)))
-        out = out.withColumn(words, _words(text, tag))
-        own = F.array(tag(F.xxhash64(F.coalesce(text, F.lit("")), F.lit(True))))
-        tagged.append(F.when(F.size(words) > 0, F.col(words)).otherwise(own))
+        tagged.append(F.transform(some, tag))
     out = out.withColumn(s, F.sort_array(F.concat(*tagged)))
     out = out.withColumn(
         at,
@@ -86,79 +79,73 @@ def _uniform(bits: Column) -> Column:
     return (bits.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") + 0.5) / _HALF
 
 
-def _product(bits: Column) -> Column:
-    """The product of two uniforms from 64 bits: minus its logarithm is Gamma(2, 1)."""
-    return _uniform(bits) * _uniform(F.shiftrightunsigned(bits, 32))
+def _gamma(bits: Column) -> Column:
+    """Gamma(2, 1) from 64 bits: minus the logarithm of a product of two uniforms."""
+    return -F.log(_uniform(bits) * _uniform(F.shiftrightunsigned(bits, 32)))
 
 
-def signatures(
-    df: DataFrame, keys: list[str], column: str = "terms", samples: int = SAMPLES, carried: tuple[str, ...] = ()
-) -> DataFrame:
-    """``keys``, ``sig0, sig1: array<bigint>``, the samples of both weights of ``column``, and ``carried``.
+def signatures(df: DataFrame, keys: list[str], column: str = "terms", samples: int = SAMPLES):
+    """``keys`` and ``sig0, sig1: array<bigint>``, the samples of both weights of ``column``.
 
     ``keys`` must tell the rows apart. If ``df`` is already distributed by some of them, no
-    row moves. Without terms of one weight, its samples are -1. Columns named by ``carried`` go with the first sample
-    alone, so they cost less than keys.
+    row moves. Without terms of one weight, its samples are -1.
     """
     if samples % AT_ONCE:
         raise ValueError(f"samples must be a multiple of {AT_ONCE}")
     # Not a plain explode: from that a filter on the whole expression of ``column`` is inferred
     # and evaluated once more below the window.
-    whole = df.select(
-        *keys, *carried, column, *[F.expr(f"aggregate({column}, 0L, (n, u) -> n + u.w{k})").alias(f"__cws_all{k}") for k in (0, 1)]
-    )
-    one = whole.select(*keys, *carried, "__cws_all0", "__cws_all1", F.posexplode_outer(column).alias("__cws_at", "__cws_u"))
-    w0, w1 = (F.col(f"__cws_u.w{k}") for k in (0, 1))
-    shares = [F.when(w > 0, w / F.col(f"__cws_all{k}")).otherwise(0.0) for k, w in enumerate((w0, w1))]
+    one = df.select(*keys, F.explode_outer(column).alias("__cws_u"))
     one = one.select(
         *keys,
-        *carried,
         F.col("__cws_u.term").alias("__cws_term"),
-        *[F.when(w > 0, F.log(w.cast("double"))).alias(f"__cws_ln{k}") for k, w in enumerate((w0, w1))],
-        # The first term always bids, so that no sample is without a bid.
-        F.when(F.coalesce("__cws_at", F.lit(0)) > 0, F.greatest(*shares) * SURE / 2).otherwise(math.inf).alias("__cws_limit"),
-        F.when(F.greatest(w0, w1) > 1, 0.0).otherwise(1.0).alias("__cws_once"),
+        *[
+            F.when(F.col(f"__cws_u.w{k}") > 0, F.log(F.col(f"__cws_u.w{k}").cast("double"))).alias(
+                f"__cws_ln{k}"
+            )
+            for k in (0, 1)
+        ],
     )
     groups = F.array(*[F.lit(g) for g in range(samples // AT_ONCE)])
     one = one.select("*", F.explode(groups).alias("__cws_g"))
-    one = one.withColumn("__cws_h", F.xxhash64(F.col("__cws_term"), F.col("__cws_g")))
-    bits = [[F.xxhash64(F.col("__cws_h").bitwiseXOR(F.lit(3 * k + j + 1))) for k in range(AT_ONCE)] for j in range(3)]
-    drawn = [*map(_product, bits[0] + bits[1]), *map(_uniform, bits[2])]
-    one = one.withColumn("__cws_drawn", F.array(*drawn))
-    one = one.select("*", F.explode(F.array(*[F.lit(k) for k in range(AT_ONCE)])).alias("__cws_k"))
-    x, y, b = (F.get("__cws_drawn", F.col("__cws_k") + j * AT_ONCE) for j in range(3))
-    # With x and y the products that make r and c, a bid's exponential is -ln(y) * x ** (1 - f) / w, f being
-    # b at a weight of 1, 0 to 1 at others. -ln(y) >= 2 * (1 - y) / (1 + y), and a geometric mean is no
-    # less than the harmonic one: x ** (1 - f) >= x / (1 - f + f * x).
-    bound = 1 - F.col("__cws_once") * b * (1 - x)
-    one = one.where((1 - y) * x < F.col("__cws_limit") * (1 + y) * bound)
-    sample = F.col("__cws_g") * AT_ONCE + F.col("__cws_k")
-    one = one.select(
-        *keys,
-        *[F.when(sample == 0, F.col(name)).alias(name) for name in carried],
-        sample.alias("__cws_sample"),
-        "__cws_h",
-        "__cws_ln0",
-        "__cws_ln1",
-        (-F.log(x)).alias("__cws_r"),
-        F.log(-F.log(y)).alias("__cws_c"),
-        b.alias("__cws_b"),
-    )
-    r, c, b = (F.col(f"__cws_{name}") for name in "rcb")
+    base = F.xxhash64(F.col("__cws_term"), F.col("__cws_g"))
+    one = one.withColumn("__cws_h", base)
+    drawn = []
+    for k in range(AT_ONCE):
+        first, second, third = (
+            F.xxhash64(F.col("__cws_h").bitwiseXOR(F.lit(3 * k + j + 1))) for j in range(3)
+        )
+        drawn += [
+            _gamma(first).alias(f"__cws_r{k}"),
+            F.log(_gamma(second)).alias(f"__cws_c{k}"),
+            _uniform(third).alias(f"__cws_b{k}"),
+        ]
+    one = one.select(*keys, "__cws_g", "__cws_h", "__cws_ln0", "__cws_ln1", *drawn)
     lows = []
     for w in (0, 1):
-        t = F.floor(F.col(f"__cws_ln{w}") / r + b)
-        bid = F.floor((c - r * (t - b + 1) + BID_OFFSET) * BID_SCALE)
-        name = F.xxhash64(F.col("__cws_h").bitwiseXOR(t)).bitwiseAND(F.lit(0xFFFFFFFF))
-        packed = F.when(F.col(f"__cws_ln{w}").isNotNull(), F.shiftleft(bid, 32).bitwiseOR(name))
-        lows.append(F.min(packed).alias(f"__cws_low{w}"))
-    low = one.groupBy(*keys, *carried, "__cws_sample").agg(*lows)
-    parts = [F.coalesce(F.col(f"__cws_low{w}").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(-1)).alias(f"s{w}") for w in (0, 1)]
-    joined = low.select(*keys, *carried, F.struct("__cws_sample", *parts).alias("part"))
-    whole = joined.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("part")).alias("parts"), *[F.max(name).alias(name) for name in carried]
+        for k in range(AT_ONCE):
+            r, c, b = (F.col(f"__cws_{x}{k}") for x in "rcb")
+            t = F.floor(F.col(f"__cws_ln{w}") / r + b)
+            bid = F.floor((c - r * (t - b + 1) + BID_OFFSET) * BID_SCALE)
+            name = F.xxhash64(F.col("__cws_h").bitwiseXOR(t)).bitwiseAND(F.lit(0xFFFFFFFF))
+            packed = F.when(
+                F.col(f"__cws_ln{w}").isNotNull(), F.shiftleft(bid, 32).bitwiseOR(name)
+            )
+            lows.append(F.min(packed).alias(f"__cws_low{w}_{k}"))
+    low = one.groupBy(*keys, "__cws_g").agg(*lows)
+    parts = [
+        F.array(
+            *[
+                F.coalesce(F.col(f"__cws_low{w}_{k}").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(-1))
+                for k in range(AT_ONCE)
+            ]
+        ).alias(f"s{w}")
+        for w in (0, 1)
+    ]
+    joined = low.select(*keys, F.struct(F.col("__cws_g").alias("g"), *parts).alias("part"))
+    whole = joined.groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    return whole.select(
+        *keys, *[F.flatten(F.col("parts")[f"s{w}"]).alias(f"sig{w}") for w in (0, 1)]
     )
-    return whole.select(*keys, *carried, *[F.col("parts")[f"s{w}"].alias(f"sig{w}") for w in (0, 1)])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -276,7 +263,8 @@ def compare_edited(
     )
     rows = weighted(rows, [F.col("text"), F.col("edited")])
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256)).drop("text", "edited")
-    signed = signatures(rows, ["bucket", "seq"], samples=samples, carried=("guest", "doc_id", "n_chars", "edited_sha256"))
+    keys = ["bucket", "seq", "guest", "doc_id", "n_chars", "edited_sha256"]
+    signed = signatures(rows, keys, samples=samples)
     line = Window.partitionBy("bucket").orderBy("seq")
     signed = signed.withColumn("following", F.lead("sig0").over(line)).where(~F.col("guest"))
     return signed.select(
